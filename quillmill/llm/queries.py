@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from quillmill.llm import bpe
+from quillmill.llm import bpe, secrets, toxicity
 
 QUERIES = {
     "op4_bpe": bpe.op4_bpe,
+    "op6_secrets": secrets.op6_secrets,
+    "op8_toxicity": toxicity.op8_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
