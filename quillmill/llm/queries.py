@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from quillmill.llm import bpe, secrets, toxicity
+from quillmill.llm import bpe, chat, decontaminate, html, neardup, secrets, toxicity
 
 QUERIES = {
+    "op2_html": html.op2_html,
     "op4_bpe": bpe.op4_bpe,
+    "op5_chat": chat.op5_chat,
     "op6_secrets": secrets.op6_secrets,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_neardup": neardup.op9_neardup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_chat": chat.OP5_SQL,
+    "op7_decontaminate": decontaminate.OP7_SQL,
+}
