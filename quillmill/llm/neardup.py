@@ -9,11 +9,13 @@ Points are drawn in order of time and only until they pass the text's largest sl
 and heavy shingles cost about the same.
 
 Signatures are banded.  Texts with the same words are one node from the start.  In a band's
-bucket every node is first compared with the least one (a star, not all pairs); links are
-verified by exact multiset overlap, and their components found.  Buckets whose nodes are then
-in one component are done.  In the others the nodes of different components are compared by
-signature, in square blocks, and what agrees enough is verified too, so that no link between
-components is lost in a bucket, whatever its size.
+bucket every node is first compared with its hub (a star, not all pairs): the node that shares
+most buckets with most others, which in a group of copies is what they were copied from.  Links
+are verified by exact multiset overlap, and their components found.  Buckets whose nodes are
+then in one component are done.  In the others the nodes of different components are compared
+in square blocks, by signature and then by exact overlap, so that no link between components
+is lost in a bucket, whatever its size.  A pair is compared in the first bucket that it shares,
+and a block gives no more links than it has nodes.
 
 With 21 bands of 3, a pair of similarity 0.8 shares no bucket with probability 3e-7; the
 signature test (half of the slots) misses it with less than 1e-7.
@@ -42,7 +44,7 @@ THRESHOLD = 0.8
 #: Slots that must agree before a pair is verified.
 LEAST_EQUAL = SLOTS // 2 + 1
 #: Nodes of a bucket in one block of the second comparison.
-BLOCK = 128
+BLOCK = 512
 
 _U64 = np.uint64
 
@@ -149,31 +151,66 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs between components within a block pair; rows come sorted by (place)."""
+def elements(text: str | None, hashes: WordHashes) -> np.ndarray:
+    """The multiset of shingles as a sorted set: the n-th copy of a shingle is an element."""
+    w = tokens(text)
+    grams, counts = np.unique(shingle_hashes(hashes.of(w), min(SHINGLE, len(w))), return_counts=True)
+    parts = [grams]
+    for copy in range(2, int(counts.max(initial=1)) + 1):
+        parts.append(_mix(grams[counts >= copy] + _step(copy, 0xD1B54A32D192ED03)))
+    return np.unique(np.concatenate(parts))
 
-    def pairs(rows):
-        left = [r for r in rows if r[3] == 0]
-        right = [r for r in rows if r[3] == 1] or left
-        x, y = (np.frombuffer(b"".join(r[2] for r in side), "<u4").reshape(-1, SLOTS) for side in (left, right))
-        for i, row in enumerate(left):
-            for j in np.flatnonzero((y == x[i]).sum(axis=1) >= LEAST_EQUAL).tolist():
-                if row[4] != right[j][4]:
-                    yield tuple(sorted((row[1], right[j][1])))
 
-    held, out = [], set()
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for b in batches:
+        sets = [elements(t, hashes).astype("<u8").tobytes() for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "elements"])
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) between components within a block pair; rows (place, i, node, sig, side,
+    component, elements) come sorted by place."""
+
+    def links(rows):
+        left = [r for r in rows if r[4] == 0]
+        right = [r for r in rows if r[4] == 1] or left
+        x, y = (np.frombuffer(b"".join(r[3] for r in side), "<u4").reshape(-1, SLOTS) for side in (left, right))
+        names = sorted({r[5] for r in rows})
+        number = {c: n for n, c in enumerate(names)}
+        part, other = (np.array([number[r[5]] for r in side]) for side in (left, right))
+        sets = [np.frombuffer(r[6], "<u8") for r in right]
+        for i, row in enumerate(left):
+            open_ = np.flatnonzero(other != part[i])
+            equal = y[open_] == x[i]
+            shared = equal.reshape(-1, BANDS, ROWS).all(axis=2)
+            # The first shared band decides which bucket compares a pair.
+            open_ = open_[(equal.sum(axis=1) >= LEAST_EQUAL) & (shared.argmax(axis=1) == row[1])]
+            own = np.frombuffer(row[6], "<u8")
+            for j in open_.tolist():
+                if other[j] == part[i] or not THRESHOLD <= len(own) / len(sets[j]) <= 1 / THRESHOLD:
+                    continue
+                at = np.searchsorted(own, sets[j])
+                at[at == len(own)] = 0
+                both = int((own[at] == sets[j]).sum())
+                if both >= THRESHOLD * (len(own) + len(sets[j]) - both):
+                    yield row[2], right[j][2]
+                    gone, to = other[j], part[i]
+                    part[part == gone] = to
+                    other[other == gone] = to
+
+    held, out = [], []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if held and held[0][0] != row[0]:
-                out.update(pairs(held))
+                out += links(held)
                 held = []
             held.append(row)
-        if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in sorted(out)], pa.binary()) for i in (0, 1)], names=["a", "b"])
-            out = set()
-    if held:
-        out.update(pairs(held))
-    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in sorted(out)], pa.binary()) for i in (0, 1)], names=["a", "b"])
+        if len(out) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+            out = []
+    out += links(held) if held else []
+    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -229,15 +266,16 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = materialise(nodes)
     width = 4 * ROWS
     keys = F.array(*(F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)) for i in range(BANDS)))
-    bands = nodes.select("node", F.explode(keys).alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").select("band", "first")
+    bands = nodes.select("node", F.posexplode(keys).alias("i", "band"))
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(bands.join(shared, "band"))
+    fame = members.groupBy("node").agg(F.sum("n").alias("fame"))
+    hubs = members.join(fame, "node").groupBy("band").agg(F.max(F.struct("fame", "node"))["node"].alias("hub"))
 
     sigs = nodes.select("node", "sig")
     sig_a, sig_b = (sigs.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    stars = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.join(hubs, "band").where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     stars = stars.join(sig_b, "b").join(sig_a, "a").select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a binary, b binary")
-    stars = materialise(stars)
 
     fetch = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
     texts = materialise(docs.select(_text_key().alias("text_key"), "text").join(fetch, "text_key").dropDuplicates(["text_key"]).select("node", "text"))
@@ -245,19 +283,17 @@ def classes(docs: DataFrame) -> DataFrame:
     found = materialise(components(links))
 
     # Buckets that are not in one component: compare across components.
-    placed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.join(found, "node", "left").select("i", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x != y").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = placed.join(mixed, "band").join(sigs, "node")
+    rows = materialise(placed.join(mixed, "band"))
+    sets = rows.select("node").distinct().join(texts, "node").select("node", "text").mapInArrow(_elements, "node binary, elements binary")
+    rows = rows.join(sigs, "node").join(sets, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    rows = rows.select(F.xxhash64("band", low, high).alias("place"), "node", "sig", (F.col("block") > F.col("other")).cast("int").alias("side"), "component")
-    cross = rows.repartition("place").sortWithinPartitions("place").mapInArrow(_cross, "a binary, b binary").distinct()
-    # What the stars already held was verified.
-    cross = materialise(cross.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = materialise(_linked(cross, texts)) if not cross.isEmpty() else None
-    if more is not None and not more.isEmpty():
+    rows = rows.select(F.xxhash64("band", low, high).alias("place"), "i", "node", "sig", (F.col("block") > F.col("other")).cast("int").alias("side"), "component", "elements")
+    more = materialise(rows.repartition("place").sortWithinPartitions("place").mapInArrow(_cross, "a binary, b binary"))
+    if not more.isEmpty():
         found = materialise(components(links.unionByName(more)))
     per_node = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     return per_node.select("doc_id", "text_key", "node", F.coalesce("component", "node").alias("component"))
