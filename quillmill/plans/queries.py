@@ -516,4 +516,25 @@ ORACLE_SQL = {
         md5('章节标题：t' || chr(10) || '正文：' || chr(10) || substring(text, 1, 4000)) AS chapter_md5 FROM d""",
     "review_counts": "SELECT count(*) FILTER (WHERE quality = 1) AS scored, count(*) FILTER (WHERE quality IS DISTINCT FROM 1) AS unscored FROM labels",
     "first_unscored": "SELECT min(doc_id) AS sample_no FROM labels WHERE quality IS DISTINCT FROM 1 HAVING min(doc_id) IS NOT NULL",
+    "split_flags": f"""WITH {D}, c AS (SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN 0 WHEN trim(text, chr(10)) = '' THEN 1 ELSE 2 END AS n FROM d)
+        SELECT doc_id, true AS used_fallback, (1 + (n <= 1)::INT)::BIGINT AS n_flags, n::BIGINT AS n_chapters FROM c""",
 }
+
+_FORM = r"""regexp_replace({}, '[\s\x1c-\x1f\x{{3000}}\x{{A0}}\x85\x{{2028}}\x{{2029}}，。！？、；：（）《》【】.,!?;:''"()\[\]{{}}]', '', 'g')"""
+_SHINGLES = "list_distinct(list_transform(range(0, greatest(length({0}) - 12, 0) + 1, 3), lambda i: substring({0}, i + 1, 12)))"
+CHAPTER_DUPS = f"""{D}, c0 AS (
+    SELECT source AS book, lpad(doc_id::VARCHAR, 12, '0') AS file, replace(text, chr(10), chr(10) || chr(10)) AS body, {PARAS} AS p FROM d WHERE text <> ''),
+  c1 AS (SELECT book, file, body, length(body) AS n, coalesce(p[1], substring(body, 1, 100)) AS para, {_FORM.format("body")} AS form FROM c0),
+  c AS (SELECT *, {_FORM.format("para")} AS norm, substring(para, 1, 30) AS key, CASE WHEN form = '' THEN [] ELSE {_SHINGLES.format("form")} END AS s FROM c1),
+  f AS (SELECT a.book, a.file AS fa, b.file AS fb, a.file AS prober, b.file AS other, 1 AS stage FROM c a JOIN c b ON a.book = b.book AND a.norm = b.norm AND a.file < b.file WHERE length(a.norm) >= 10),
+  h AS (SELECT a.book, least(a.file, b.file) AS fa, greatest(a.file, b.file) AS fb, a.file AS prober, b.file AS other, 2 AS stage,
+          row_number() OVER (PARTITION BY a.book, least(a.file, b.file), greatest(a.file, b.file) ORDER BY a.file) AS rn
+        FROM c a JOIN c b ON a.book = b.book AND a.file <> b.file WHERE length(a.para) >= 30 AND contains(b.body, a.key)),
+  u AS (SELECT * FROM f UNION ALL SELECT book, fa, fb, prober, other, stage FROM h WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM f WHERE f.book = h.book AND f.fa = h.fa AND f.fb = h.fb)),
+  j AS (SELECT u.*, p.n >= o.n AS keep_prober, len(list_intersect(p.s, o.s)) / greatest(len(p.s) + len(o.s) - len(list_intersect(p.s, o.s)), 1)::DOUBLE AS sim
+        FROM u JOIN c p ON p.book = u.book AND p.file = u.prober JOIN c o ON o.book = u.book AND o.file = u.other),
+  k AS (SELECT book, CASE WHEN keep_prober THEN other ELSE prober END AS file, CASE WHEN keep_prober THEN prober ELSE other END AS duplicate_of, sim, stage,
+          row_number() OVER (PARTITION BY book, CASE WHEN keep_prober THEN other ELSE prober END ORDER BY stage, prober, other) AS rn FROM j WHERE sim >= 0.8),
+  r AS (SELECT book, file, duplicate_of, round(sim, 6) AS similarity, CASE stage WHEN 1 THEN '首段相同，全文相似' ELSE '首段命中，全文相似' END || printf('%.1f%%', sim * 100) AS reason FROM k WHERE rn = 1)"""
+ORACLE_SQL["chapter_dups"] = f"WITH {CHAPTER_DUPS} SELECT * FROM r"
+ORACLE_SQL["dup_per_book"] = f"WITH {CHAPTER_DUPS} SELECT book, count(*) AS n FROM r GROUP BY book"
