@@ -27,6 +27,8 @@ from quillmill.llm.common import table
 
 #: Pages of one host whose occurrence vectors are compared at once.
 BLOCK_PAGES = 128
+#: Elements nested deeper than this share one path.
+MAX_DEPTH = 60
 #: Fewest distinct pages on which a text that all share is part of the template.
 MIN_PAGES_FOR_TEXT = 8
 
@@ -58,6 +60,7 @@ _CHROME_WORDS = {
 }
 _CHROME_ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "alert", "dialog", "alertdialog", "menu", "menubar", "form"}
 _MAIN_WORDS = {"article", "articlebody", "post", "entry", "story", "content", "main", "maincontent"}
+_PROSE = {"p", "li", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "td", "th", "figcaption"}
 #: A start tag closes open elements of these names that nothing else holds together.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ENDS_P = _BLOCK - {"br", "html", "body"}
@@ -70,16 +73,19 @@ def _words(value: str) -> set[str]:
 class Node:
     """An element: its key in the template, whether it or one above it is chrome, its parent."""
 
-    __slots__ = ("tag", "key", "path", "chrome", "parent", "main")
+    __slots__ = ("tag", "key", "path", "chrome", "parent", "main", "depth", "article")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.parent = tag, parent
+        self.tag, self.depth = tag, parent.depth + 1 if parent else 0
+        # Below MAX_DEPTH all elements hang on the last one above it, so that paths stay short.
+        self.parent = parent.parent if parent and parent.depth > MAX_DEPTH else parent
         names = _words(attrs.get("class", "")) | _words(attrs.get("id", ""))
         role = attrs.get("role", "").lower()
         classes = ".".join(sorted(attrs.get("class", "").lower().split()))
         self.key = f"{tag}.{classes}" if classes else tag
-        self.path = f"{parent.path}/{self.key}" if parent else self.key
-        inside = parent is not None and parent.inside_article()
+        self.path = self.key if parent is None else parent.path if parent.depth > MAX_DEPTH else f"{parent.path}/{self.key}"
+        inside = parent is not None and parent.article
+        self.article = inside or tag in ("article", "main")
         own = tag in _CHROME_TAGS or role in _CHROME_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
         own = own or tag == "header" and not inside
         own = own or tag not in ("article", "main", "body", "html") and bool(names & _CHROME_WORDS)
@@ -88,14 +94,6 @@ class Node:
         named = tag in ("div", "section", "td") and names & _MAIN_WORDS
         self.main = 0 if self.chrome else 3 if tag == "article" else 2 if tag == "main" or role in ("main", "article") else 1 if named else 0
 
-    def inside_article(self) -> bool:
-        node = self
-        while node is not None:
-            if node.tag in ("article", "main"):
-                return True
-            node = node.parent
-        return False
-
 
 def blocks(page: str) -> list[tuple[Node, str]]:
     """(innermost element that holds the block, text) in page order; the elements met are
@@ -135,8 +133,6 @@ def blocks(page: str) -> list[tuple[Node, str]]:
         if tag in _BLOCK:
             flush()
         if tag in _VOID:
-            if tag == "wbr" or tag in _BLOCK:
-                continue
             continue
         if tag in _ENDS_P:
             # A new block ends an open paragraph, with whatever inline elements it left open.
@@ -255,10 +251,11 @@ def extract_block(pages: list[str]) -> list[str]:
 
 
 def _template_text(found: list[list[tuple[Node, str]]]) -> set[tuple[str, str]]:
-    """(path, text) that every page of a large block has once: its words are template tokens."""
+    """(path, text) that every page of a large block has once: its words are template tokens.
+    Paragraphs, items and headings are content even so."""
     if len(found) < MIN_PAGES_FOR_TEXT:
         return set()
-    counts = [Counter((n.path, t) for n, t in f) for f in found]
+    counts = [Counter((n.path, t) for n, t in f if not _PROSE & {k.partition(".")[0] for k in n.path.split("/")}) for f in found]
     return {x for x, n in counts[0].items() if n == 1 and all(c[x] == 1 for c in counts[1:])}
 
 
