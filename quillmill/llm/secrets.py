@@ -150,8 +150,8 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """``docs`` with every found secret in ``text`` replaced; all rows stay, other columns too
     (``n_chars`` follows the text where there is one)."""
-    found = scan_unseen(docs, ledger).select("blob", F.col("spans").alias("__spans"))
-    joined = docs.withColumn("blob", blob_of()).join(found, "blob", "left").select(*docs.columns, "__spans")
+    found = scan_unseen(docs, ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    joined = docs.withColumn("__blob", blob_of()).join(found, "__blob", "left").select(*docs.columns, "__spans")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     out = joined.mapInArrow(_redact, schema)
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
