@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +50,25 @@ def near_pairs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     return a.join(b, ["band", "key"]).where(near).select("a", "b").distinct()
 
 
-def against_index(new: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _first_two(df: DataFrame, *by: str) -> DataFrame:
+    """The two rows of least ``pos`` of each key: enough, as a book skips at most its own."""
+    order = Window.partitionBy(*by).orderBy("pos")
+    return df.withColumn("__n", F.row_number().over(order)).where("__n <= 2").drop("__n")
+
+
+def _cached_near(new: DataFrame, c: DataFrame, same_salts: bool) -> DataFrame:
+    """(book, pos, duplicate_of, ch, hash) of near matches; with same salts the least positions
+    per signature and length stand for all, so that a large group is not paired with itself."""
+    if not same_salts:
+        near = near_pairs(new.withColumn("id", F.col("book")), c.select(F.col("pos").alias("id"), F.col("cf").alias("fp"), F.col("cc").alias("char_count")))
+        near = near.join(c.select(F.col("pos").alias("b"), "duplicate_of", "ch"), "b").join(new.select(F.col("book").alias("a"), "hash"), "a")
+        return near.select(F.col("a").alias("book"), F.col("b").alias("pos"), "duplicate_of", "ch", "hash")
+    few = _first_two(c.withColumn("slot", F.col("cf")[0]).select("duplicate_of", "pos", "ch", "cc", "slot"), "slot", "cc")
+    rows = new.select("book", "hash", "char_count", F.col("fp")[0].alias("slot"))
+    return rows.join(few, "slot").where(length_ratio(F.col("char_count"), F.col("cc")) >= LEAST_RATIO).select("book", "pos", "duplicate_of", "ch", "hash")
+
+
+def against_index(new: DataFrame, cached: DataFrame, same_salts: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rest, dropped): new books that equal or resemble a cleaned book of the index are
     dropped with reason and duplicate_of, the first match by index position.
 
@@ -56,10 +76,9 @@ def against_index(new: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFra
     cached book of the same name is no match.
     """
     c = cached.select(F.col("book").alias("duplicate_of"), "pos", F.col("hash").alias("ch"), F.col("fp").alias("cf"), F.col("char_count").alias("cc"))
-    same = new.select("book", "hash").join(c, F.col("hash") == F.col("ch")).select("book", "pos", "duplicate_of", F.lit("exact_duplicate").alias("reason"))
-    near = near_pairs(new.withColumn("id", F.col("book")), cached.withColumn("id", F.col("pos")))
-    near = near.join(c.select(F.col("pos").alias("b"), "duplicate_of", "ch"), "b").join(new.select(F.col("book").alias("a"), "hash"), "a")
-    near = near.where("hash != ch").select(F.col("a").alias("book"), F.col("b").alias("pos"), "duplicate_of", F.lit("near_duplicate").alias("reason"))
+    exact = _first_two(c.select("duplicate_of", "pos", F.col("ch").alias("hash")), "hash")
+    same = new.select("book", "hash").join(exact, "hash").select("book", "pos", "duplicate_of", F.lit("exact_duplicate").alias("reason"))
+    near = _cached_near(new, c, same_salts).where("hash != ch").select("book", "pos", "duplicate_of", F.lit("near_duplicate").alias("reason"))
     hit = same.unionByName(near).where("book != duplicate_of").groupBy("book").agg(F.min_by(F.struct("reason", "duplicate_of"), "pos").alias("m"))
     dropped = new.join(hit.select("book", "m.*"), "book")
     return new.join(hit, "book", "left_anti"), dropped
@@ -72,23 +91,27 @@ def exact_among(new: DataFrame, order: str = "path") -> tuple[DataFrame, DataFra
     return marked.where("__n = 1").drop("__n", "duplicate_of"), marked.where("__n > 1").drop("__n").withColumn("reason", F.lit("exact_duplicate"))
 
 
-def greedy(pairs: list[tuple[int, int]], count: dict[int, int]) -> list[tuple[int, int]]:
+def greedy(near, count) -> list[tuple[int, int]]:
     """(dropped, kept) by going through positions in order: of two near duplicates the shorter
     is dropped, the earlier where they are as long; a position dropped before its turn is
-    skipped, one dropped during its turn goes on comparing."""
-    near: dict[int, list[int]] = {}
-    for i, j in pairs:
-        near.setdefault(min(i, j), []).append(max(i, j))
-    gone: set[int] = set()
+    skipped, one dropped during its turn goes on comparing.
+
+    ``near(i)``: the later positions that are near duplicates of i, ascending.  A position that
+    loses to several is listed once, with the first of them.
+    """
+    gone = np.zeros(len(count), bool)
     out = []
-    for i in sorted(near):
-        if i in gone:
+    for i in range(len(count)):
+        if gone[i]:
             continue
-        for j in sorted(near[i]):
-            if j not in gone:
-                short, long = (i, j) if count[i] <= count[j] else (j, i)
-                gone.add(short)
-                out.append((short, long))
+        others = near(i)
+        others = others[~gone[others]]
+        shorter = count[others] < count[i]
+        gone[others[shorter]] = True
+        out += [(j, i) for j in others[shorter].tolist()]
+        if not shorter.all():
+            gone[i] = True
+            out.append((i, int(others[~shorter][0])))
     return out
 
 
@@ -111,27 +134,46 @@ def components(pairs: DataFrame) -> DataFrame:
         label = new
 
 
-def greedy_among(unique: DataFrame, order: str = "path") -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped) among fingerprinted books: the ordered greedy pass, per component of
-    near duplicates.  Only pairs that are near duplicates are moved."""
+def greedy_among(unique: DataFrame, order: str = "path", same_salts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped) among fingerprinted books: the ordered greedy pass.
+
+    With same salts two signatures agree in all slots or none, so books of one signature are
+    passed through together and no pairs are made; each is an id, a place and a length.  With
+    distinct salts the pass runs per component of near-duplicate pairs.
+    """
     placed = unique.withColumn("id", F.xxhash64(order, "book"))
-    pairs = near_pairs(placed, placed).where("a < b")
-    parts = components(pairs)
-    info = placed.select("id", F.col(order).alias("place"), "char_count")
-    a = info.select(F.col("id").alias("a"), F.col("place").alias("ap"), F.col("char_count").alias("ac"))
-    b = info.select(F.col("id").alias("b"), F.col("place").alias("bp"), F.col("char_count").alias("bc"))
-    edges = pairs.join(a, "a").join(b, "b").join(parts.withColumnRenamed("id", "a"), "a")
-
-    def run(pdf):
-        import pandas as pd
-
-        rank = {p: n for n, p in enumerate(sorted(set(zip(pdf.ap, pdf.a, strict=True)) | set(zip(pdf.bp, pdf.b, strict=True))))}
-        count = {rank[p, i]: c for p, i, c in [*zip(pdf.ap, pdf.a, pdf.ac, strict=True), *zip(pdf.bp, pdf.b, pdf.bc, strict=True)]}
-        ids = {n: i for (_, i), n in rank.items()}
-        out = greedy([(rank[w, x], rank[y, z]) for w, x, y, z in zip(pdf.ap, pdf.a, pdf.bp, pdf.b, strict=True)], count)
-        return pd.DataFrame([(ids[s], ids[k]) for s, k in out], columns=["id", "kept"])
-
-    gone = edges.groupBy("component").applyInPandas(run, "id long, kept long")
+    info = placed.select("id", F.col(order).alias("place"), "char_count", F.col("fp")[0].alias("slot"))
+
+    def passed(pdf):
+        pdf = pdf.sort_values(["place", "id"]).reset_index(drop=True)
+        count = pdf.char_count.to_numpy()
+
+        def near(i):
+            later = count[i + 1 :]
+            return i + 1 + np.flatnonzero(np.minimum(later, count[i]) >= LEAST_RATIO * np.maximum(later, count[i]))
+
+        out = greedy(near, count)
+        return pd.DataFrame([(pdf.id[a], pdf.id[b]) for a, b in out], columns=["id", "kept"])
+
+    def paired(pdf):
+        nodes = sorted({*zip(pdf.ap, pdf.a, pdf.ac, strict=True), *zip(pdf.bp, pdf.b, pdf.bc, strict=True)})
+        rank = {i: n for n, (_, i, _) in enumerate(nodes)}
+        after = [[] for _ in nodes]
+        for a, b in zip(pdf.a, pdf.b, strict=True):
+            after[min(rank[a], rank[b])].append(max(rank[a], rank[b]))
+        out = greedy(lambda i: np.array(sorted(after[i]), int), np.array([c for _, _, c in nodes]))
+        return pd.DataFrame([(nodes[a][1], nodes[b][1]) for a, b in out], columns=["id", "kept"])
+
+    if same_salts:
+        # A signature that one book alone has needs no pass.
+        several = info.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
+        gone = info.join(several, "slot", "left_semi").groupBy("slot").applyInPandas(passed, "id long, kept long")
+    else:
+        pairs = near_pairs(placed, placed).where("a < b")
+        a = info.select(F.col("id").alias("a"), F.col("place").alias("ap"), F.col("char_count").alias("ac"))
+        b = info.select(F.col("id").alias("b"), F.col("place").alias("bp"), F.col("char_count").alias("bc"))
+        edges = pairs.join(a, "a").join(b, "b").join(components(pairs).withColumnRenamed("id", "a"), "a")
+        gone = edges.groupBy("component").applyInPandas(paired, "id long, kept long")
     named = gone.join(placed.select(F.col("id").alias("kept"), F.col("book").alias("duplicate_of")), "kept").drop("kept")
     dropped = placed.join(named, "id").drop("id").withColumn("reason", F.lit("near_duplicate"))
     return placed.join(gone.select("id").distinct(), "id", "left_anti").drop("id"), dropped

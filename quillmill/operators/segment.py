@@ -19,10 +19,10 @@ _HEADER = rf"第{_BLANK}*[0-9〇零一二三四五六七八九十百千两萬万
 _HEADER_LINE = rf"{_ORNAMENT}({_HEADER}){_BLANK}*(?=\n|\z)"
 _NUMBER_LINE = rf"{_BLANK}*(\d{{1,4}}){_BLANK}*(?=\n|\z)"
 
-#: Flags of a book (fixed values).
-FEW_CHAPTERS = "只切出了 1 章，章节标题格式大概率没识别，建议人工检查/补充 CHAPTER_RE 规则"
-NUMBER_HEADERS = "没找到\"第X章\"格式，用的是纯数字兜底规则切的章节，建议抽查分章是否准确"
-REPEATED_BLOCKS = "检测到疑似重复段落并自动删除，建议核实没有误删"
+#: Flags for people to look at.
+FEW_CHAPTERS = "最多一章：请检查章节标题的写法"
+NUMBER_HEADERS = "章节按纯数字行切分：请抽查"
+REPEATED_BLOCKS = "删去了重复的段落：请核实"
 
 
 def split_book(text: Column) -> Column:

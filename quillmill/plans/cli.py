@@ -1,6 +1,7 @@
 """Commands over a folder of texts and tables: ``python -m quillmill.plans.cli VERB ...``.
 
-clean      raw/*.txt into tables of books, chapters, dropped books and an index
+clean      raw/*.txt into tables of books, chapters, dropped books and an index, and into
+           cleaned/BOOK/NNNN.md for annotation
 draft      annotations of chapters that lack some, by a chat model
 export     training records; flags, validate, recheck, score, sample, dups, review: reports
 """
@@ -95,6 +96,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
     root = str(pathlib.Path(a.root).resolve())
     if a.verb == "clean":
         result = incremental.run_once(spark, f"{root}/raw", f"{root}/tables", a.force)
+        files.write_tree(result["books"], result["chapters"], f"{root}/cleaned")
         rows = result["books"].join(result["chapters"].groupBy("book").count(), "book", "left")
         print({"kept": rows.count(), "dropped": result["dropped"].count(), "chapters": result["chapters"].count()})
         return

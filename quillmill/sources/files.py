@@ -115,9 +115,29 @@ def render_chapter(row: dict) -> str:
     front = {k: row.get(k) or "" for k in ("world", "scene", "emotion", "plot", "style")}
     front["characters"] = [{k: v for k, v in dict(c).items() if v is not None} for c in row.get("characters") or []]
     front |= {"pov": row.get("pov") or "", "word_count": row.get("word_count")}
+    if row.get("flags"):
+        front["flags"] = list(row["flags"])
     return "---\n" + yaml.safe_dump(front, allow_unicode=True, sort_keys=False) + "---\n\n" + (row.get("body") or "") + "\n"
 
 
+def write_tree(books: DataFrame, chapters: DataFrame, folder: str) -> None:
+    """``book/_book_meta.yaml`` and ``book/NNNN.md`` for people to annotate, on a local or
+    mounted folder.  Rows come one partition at a time.  A description that exists stays; flags
+    of a chapter are written into its front matter."""
+    import yaml
+
+    for b in books.toLocalIterator():
+        path = confined(folder, f"{b.book}/_book_meta.yaml")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        if not os.path.exists(path):
+            about = {"book": b.book, "source_file": b.source_file, "tags": list(b.tags or []), "synopsis": b.synopsis or "", "world": "", "style_template": [], "banned_terms": [], "flags": list(b.flags or [])}
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(yaml.safe_dump(about, allow_unicode=True, sort_keys=False))
+    for c in chapters.select("book", "chapter_no", "body", "flags").toLocalIterator():
+        with open(confined(folder, f"{c.book}/{c.chapter_no:04d}.md"), "w", encoding="utf-8") as f:
+            f.write(render_chapter({"body": c.body, "flags": c.flags}))
+
+
 def chapter_files(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
     """One row per ``book/NNNN.md``: file, book, chapter_no and the fields of ``CHAPTER``."""
 

@@ -88,28 +88,56 @@ def test_against_index_and_exact(spark):
     assert dedup.unseen(new, cached).count() == 3 and dedup.unseen(new, cached, force=True).count() == 4
 
 
-def test_greedy_equals_brute_force(spark):
+def brute_greedy(near, count):
+    """The pass as nested loops; a book's first record counts."""
+    gone, out = set(), {}
+    for i in range(len(count)):
+        if i in gone:
+            continue
+        for j in range(i + 1, len(count)):
+            if j not in gone and near(i, j):
+                short, long = (i, j) if count[i] <= count[j] else (j, i)
+                gone.add(short)
+                out.setdefault(short, long)
+    return sorted(out.items())
+
+
+@pytest.mark.parametrize("same_salts", [True, False])
+def test_greedy_equals_brute_force(spark, same_salts):
+    from quillmill.functions.similarity import SAME_SALTS, distinct_salts
+
     rng = random.Random(6)
     base = "".join(rng.choice("甲乙丙丁戊己庚辛") for _ in range(900))
     rows = [(f"b{i}", base[: 900 - rng.randrange(0, 200, 3)] if i % 3 else "".join(rng.choice("子丑寅卯") for _ in range(300))) for i in range(24)]
     rows = [(b, t) for n, (b, t) in enumerate(rows) if t not in [x for _, x in rows[:n]]]
-    df = books_frame(spark, rows)
+    df = spark.createDataFrame([(b, f"{i:03d}", t) for i, (b, t) in enumerate(rows)], "book string, path string, text string")
+    df = dedup.fingerprint(df, salts=SAME_SALTS if same_salts else distinct_salts())
     info = [(r.book, r.char_count, r.fp) for r in df.orderBy("path").collect()]
-    pairs = []
-    for i in range(len(info)):
-        for j in range(i + 1, len(info)):
-            (_, a, x), (_, b, y) = info[i], info[j]
-            if min(a, b) / max(a, b) >= 0.85 and sum(p == q for p, q in zip(x, y, strict=True)) / 64 >= 0.8:
-                pairs.append((i, j))
-    want = dedup.greedy(pairs, {i: c for i, (_, c, _) in enumerate(info)})
-    kept, dropped = dedup.greedy_among(df)
+
+    def near(i, j):
+        (_, a, x), (_, b, y) = info[i], info[j]
+        return min(a, b) / max(a, b) >= 0.85 and sum(p == q for p, q in zip(x, y, strict=True)) / 64 >= 0.8
+
+    want = brute_greedy(near, [c for _, c, _ in info])
+    kept, dropped = dedup.greedy_among(df, same_salts=same_salts)
     assert sorted((r.book, r.duplicate_of) for r in dropped.collect()) == sorted((info[a][0], info[b][0]) for a, b in want) and want
     assert {r.book for r in kept.collect()} == {b for b, _, _ in info} - {info[a][0] for a, _ in want}
 
 
 def test_greedy_order():
-    assert dedup.greedy([(0, 1)], {0: 5, 1: 5}) == [(0, 1)]
-    assert dedup.greedy([(0, 1), (0, 2), (1, 2)], {0: 5, 1: 9, 2: 7}) == [(0, 1), (0, 2), (2, 1)]
+    import numpy as np
+
+    def run(pairs, count):
+        return sorted(dedup.greedy(lambda i: np.array(sorted(j for a, j in pairs if a == i), int), np.array(count)))
+
+    assert run([(0, 1)], [5, 5]) == [(0, 1)]
+    assert run([(0, 1), (0, 2), (1, 2)], [5, 9, 7]) == [(0, 1), (2, 1)]
+    for seed in range(200):
+        rng = random.Random(seed)
+        n = rng.randint(1, 9)
+        pairs = {(i, j) for i in range(n) for j in range(i + 1, n) if rng.random() < 0.5}
+        count = [rng.randint(1, 4) for _ in range(n)]
+        assert run(pairs, count) == brute_greedy(lambda i, j, p=pairs: (i, j) in p, count)
 
 
 def test_chapter_duplicates(spark):
@@ -169,6 +197,13 @@ def test_incremental_and_cli(spark, tmp_path):
     c = {r.chapter_no: r for r in files.chapter_files(spark, str(tmp_path / "cleaned")).collect()}
     assert c[1].plot == "旧" and c[1].scene == "123" and c[1].body == "顾言来了" and c[2].malformed and c[3].parse_error and c[1].book == "书"
     root = ["--root", str(tmp_path)]
+    fresh = tmp_path / "fresh"
+    (fresh / "raw").mkdir(parents=True)
+    (fresh / "raw" / "丁.txt").write_text("简介\n第1章 起\n正文一\n第2章 承\n正文二", encoding="utf-8")
+    cli.main(["--root", str(fresh), "clean"], spark)
+    assert (fresh / "cleaned/丁/0002.md").read_text(encoding="utf-8").endswith("---\n\n正文二\n")
+    assert yaml.safe_load((fresh / "cleaned/丁/_book_meta.yaml").read_text(encoding="utf-8"))["synopsis"] == "简介"
+    cli.main(["--root", str(fresh), "export"], spark)
     for verb in (["export"], ["flags"], ["validate"], ["recheck"], ["final"], ["score"], ["sample", "--seed", "3"], ["review"], ["dups"]):
         cli.main([*root, *verb], spark)
     assert "角色不在正文" not in (tmp_path / "reports/validation.txt").read_text(encoding="utf-8")
