@@ -5,11 +5,12 @@ postings: sorted terms, postings and lengths, compressed, one row each.  Documen
 average length and the queries' document frequencies are summed over all shards, so every
 shard scores with the global statistics.
 
-In a shard, documents stand in blocks of BLOCK_DOCS.  For each term and block the largest
-impact is known; the sum over a query's terms bounds every score in the block.  Blocks are
-visited by falling bound until the bound is below the k-th best score found so far by this
-task, in this shard or an earlier one.  Scores of visited blocks are complete, so the merged
-lists are the exact top k; ties go to the lesser id.
+In a shard, documents stand in blocks of BLOCK_DOCS.  The impacts of terms that many of its
+documents have are also kept as a matrix, whose product with many queries' weights at once
+bounds their part of every score (in single precision, rounded up); the other terms' postings
+add to the bound.  A block is visited only if its largest bound reaches the k-th best score
+that this task has found, in this shard or an earlier one, and in it only such documents are
+scored in full, term by term.  So the merged lists are the exact top k; ties go to the lesser id.
 
 Queries are taken in blocks of at most BLOCK_TERMS terms, which go to every task.
 """
@@ -33,6 +34,8 @@ K1, B = 1.2, 0.75
 TOP_K = 10
 SHARD_DOCS, SHARD_POSTINGS = 4096, 4_000_000
 BLOCK_DOCS = 64
+#: A term is frequent in a shard if one document of so many has it; queries in one product.
+FREQUENT, BATCH = 8, 256
 #: Terms of the queries that are searched in one pass.
 BLOCK_TERMS = 2_000_000
 
@@ -111,57 +114,80 @@ class Shard:
         tf = _unpack(row["tfs"], "<u4").astype("f8")
         norm = K1 * (1 - B + B * lengths / average)
         self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
-        # Runs of postings of one term in one block.
-        term_of = np.repeat(np.arange(len(self.terms)), np.diff(self.starts))
-        key = term_of * (len(self.ids) // BLOCK_DOCS + 1) + self.docs // BLOCK_DOCS
-        self.run = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, "i8")
-        self.run_end = np.append(self.run[1:], len(key))
-        self.run_block = self.docs[self.run] // BLOCK_DOCS
-        self.run_max = np.maximum.reduceat(self.impact, self.run) if len(key) else np.zeros(0)
-        self.first_run = np.searchsorted(self.run, self.starts)
-        self.blocks = (len(self.ids) + BLOCK_DOCS - 1) // BLOCK_DOCS
-
-    def search(self, names: np.ndarray, weights: np.ndarray, best: list[tuple[float, int]], k: int) -> None:
-        """Put the shard's best into the heap ``best`` of (score, -id), at most k long."""
-        at = np.searchsorted(self.terms, names)
-        at[at == len(self.terms)] = 0
-        hit = self.terms[at] == names if len(self.terms) else np.zeros(len(names), bool)
-        at, weights = at[hit], weights[hit]
-        if not len(at):
+        self.first = np.arange(0, len(self.ids), BLOCK_DOCS)
+        # Frequent terms: row of the matrix for each term, else -1.
+        frequent = np.flatnonzero(np.diff(self.starts) * FREQUENT >= len(self.ids))
+        self.row = np.full(len(self.terms), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), len(self.ids)))
+        posts, of = _ranges(self.starts[frequent], self.starts[frequent + 1])
+        self.matrix[of, self.docs[posts]] = self.impact[posts]
+        self.single = self.matrix.astype("f4")
+
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], heaps: list[list[tuple[float, int]]], k: int) -> None:
+        """Put the shard's best for each (id, terms, weights) into its heap of (score, -id), at
+        most k long."""
+        if not len(self.terms):
             return
-        runs, of = _ranges(self.first_run[at], self.first_run[at + 1])
-        weight = weights[of]
-        block = self.run_block[runs]
-        bound = np.bincount(block, self.run_max[runs] * weight, self.blocks) * (1 + 1e-9)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        done, step = 0, 2
-        wanted = np.zeros(self.blocks, bool)
-        while done < len(order):
-            chosen = order[done : done + step]
-            if len(best) == k:
-                chosen = chosen[bound[chosen] >= best[0][0]]
-                if not len(chosen):
-                    return
-            wanted[:] = False
-            wanted[chosen] = True
-            in_block = wanted[block]
-            posts, run_of = _ranges(self.run[runs[in_block]], self.run_end[runs[in_block]])
-            local = self.docs[posts]
-            # Summed in the order of the query's terms, so equal texts get equal scores in any shard.
-            scores = np.bincount(local, self.impact[posts] * weight[in_block][run_of], len(self.ids))
-            found = np.flatnonzero(scores > 0)
-            if len(found) > k:
-                least = np.partition(scores[found], len(found) - k)[len(found) - k]
-                found = found[scores[found] >= least]
-            for d in found.tolist():
-                entry = (float(scores[d]), -int(self.ids[d]))
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-            done += step
-            step *= 2
+        for start in range(0, len(queries), BATCH):
+            batch = queries[start : start + BATCH]
+            known = []
+            weights = np.zeros((len(batch), len(self.matrix)), "f4")
+            for i, (_, names, weight) in enumerate(batch):
+                at = np.searchsorted(self.terms, names)
+                at[at == len(self.terms)] = 0
+                hit = self.terms[at] == names
+                at, weight = at[hit], weight[hit]
+                row = self.row[at]
+                weights[i, row[row >= 0]] = weight[row >= 0]
+                known.append((at, weight, row))
+            bounds = weights @ self.single
+            for i, (at, weight, row) in enumerate(known):
+                if len(at):
+                    self._visit(bounds[i], at, weight, row, heaps[start + i], k)
+
+    def _visit(self, bound: np.ndarray, at: np.ndarray, weight: np.ndarray, row: np.ndarray, best: list[tuple[float, int]], k: int) -> None:
+        other = np.flatnonzero(row < 0)
+        posts, of = _ranges(self.starts[at[other]], self.starts[at[other] + 1])
+        local, adds = self.docs[posts], self.impact[posts] * weight[other][of]
+        bound = bound.astype("f8") * (1 + 1e-4) + np.bincount(local, adds, len(self.ids)) * (1 + 1e-9)
+        if len(best) < k:
+            # The k best bounds are scored first, so that there is a score to compare with.
+            some = np.argpartition(-bound, k)[:k] if len(bound) > k else np.arange(len(bound))
+            self._score(np.sort(some[bound[some] > 0]), at, weight, row, other, local, adds, of, best, k)
+            done = set(some.tolist())
+        else:
+            done = set()
+        # Blocks whose largest bound can't reach the k-th best score are passed over.
+        least = best[0][0] if len(best) == k else 0.0
+        blocks = np.flatnonzero(np.maximum.reduceat(bound, self.first) >= least)
+        inside, _ = _ranges(self.first[blocks], np.minimum(self.first[blocks] + BLOCK_DOCS, len(self.ids)))
+        found = inside[(bound[inside] >= least) & (bound[inside] > 0)]
+        found = np.array([d for d in found.tolist() if d not in done], "i8")
+        if len(found):
+            self._score(found, at, weight, row, other, local, adds, of, best, k)
+
+    def _score(self, docs, at, weight, row, other, local, adds, of, best, k) -> None:
+        """Full scores of ``docs`` (sorted), summed in the order of the query's terms, so that
+        equal texts get equal scores in any shard."""
+        parts = np.zeros((len(at), len(docs)))
+        dense = np.flatnonzero(row >= 0)
+        parts[dense] = self.matrix[np.ix_(row[dense], docs)] * weight[dense][:, None]
+        column = np.full(len(self.ids), -1)
+        column[docs] = np.arange(len(docs))
+        place = column[local]
+        hit = np.flatnonzero(place >= 0)
+        parts[other[of[hit]], place[hit]] = adds[hit]
+        # A running sum adds one by one, whatever the shape.
+        total = np.cumsum(parts, axis=0)[-1]
+        for d, score in zip(docs.tolist(), total.tolist(), strict=True):
+            entry = (score, -int(self.ids[d]))
+            if score <= 0:
+                continue
+            if len(best) < k:
+                heapq.heappush(best, entry)
+            elif entry > best[0]:
+                heapq.heapreplace(best, entry)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,9 +244,7 @@ def _search_block(index: DataFrame, queries: list, n_docs: int, average: float,
         best: list[list] = [[] for _ in sent.value]
         for b in batches:
             for row in b.to_pylist():
-                shard = Shard(row, average)
-                for (_, own, weights), heap in zip(sent.value, best, strict=True):
-                    shard.search(own, weights, heap, k)
+                Shard(row, average).search(sent.value, best, k)
         rows = [(q[0], -i, s) for q, heap in zip(sent.value, best, strict=True) for s, i in heap]
         for at in range(0, len(rows), 50_000):
             part = list(zip(*rows[at : at + 50_000], strict=True))
