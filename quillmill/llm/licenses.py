@@ -1,6 +1,6 @@
 """License scans by sparse TF-IDF cosine, with inheritance along directories.
 
-Every line of a text, and every run of lines that all sound like a licence, is compared with
+Every line of a text that sounds like a licence, and every run of such lines, is compared with
 templates of licence headers and texts: vectors over the templates' words, weighted by how
 rare a word is in the documents (counted over all of them) and in the templates.  A text whose
 words are mostly licence is a licence file of its directory.  A text without a licence of its
@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import table
+from quillmill.llm.common import materialise, table
 
 #: Least cosine, and least share of its words in licence lines that makes a text a licence file.
 LEAST_COSINE, FILE_SHARE = 0.6, 0.5
+#: Lines that a wrapped header can have; each line is compared together with so many before it.
+RUN_LINES = 60
 
 #: Headers and texts of common licences (fixed values).
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -53,10 +55,15 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 #: A line without any of these is no licence line; each template has at least one.
-_CUE = re.compile(r"licen[sc]e|rights reserved|permission|redistribut|public domain|\bcc0|\bcc[ -]by|free software|governed by", re.IGNORECASE)
+_CUES = ("licen", "rights reserved", "permission", "redistribut", "public domain", "cc0", "cc by", "cc-by", "free software", "governed by")
 _WORD = re.compile(r"[a-z]+|\d+")
 
 
+def has_cue(text: str) -> bool:
+    low = text.lower()
+    return any(c in low for c in _CUES)
+
+
 def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -84,25 +91,19 @@ class Matcher:
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
         """(licence, cosine, share of the words in licence lines) of a whole text."""
-        if not _CUE.search(text):
+        if not has_cue(text):
             return None, 0.0, 0.0
         best, words, total, run = (0.0, ""), 0, 0, []
-        for line in [*text.split("\n"), ""]:
-            count = len(line.split())
-            total += count
-            # A header may be wrapped: lines next to each other are also tried as one.
-            if line.strip() and (_CUE.search(line) or run):
-                run.append(line)
-                if len(run) > 1 and not _CUE.search(line) and self.best(line)[0] < LEAST_COSINE / 3:
-                    run.pop()
-                    line = ""
-                if _CUE.search(line):
-                    best = max(best, self.best(line), *( [self.best(" ".join(run))] if len(run) > 1 else []))
-                    if self.best(line)[0] >= LEAST_COSINE:
-                        words += count
-            if not line.strip() and run:
-                best = max(best, self.best(" ".join(run)))
-                run = []
+        for line in text.split("\n"):
+            total += len(line.split())
+            cue = has_cue(line)
+            own = self.best(line) if cue or run else (0.0, "")
+            # A wrapped header: lines next to each other are also tried as one, while they still
+            # sound like a licence.
+            run = [*run, line][-RUN_LINES:] if cue or run and own[0] >= LEAST_COSINE / 3 else []
+            best = max(best, own, self.best(" ".join(run)) if len(run) > 1 else own)
+            if own[0] >= LEAST_COSINE:
+                words += len(line.split())
         if best[0] < LEAST_COSINE:
             return None, best[0], 0.0
         return best[1], best[0], words / max(total, 1)
@@ -139,7 +140,7 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text") -> D
 
     ``license`` is the text's own, else that of the nearest folder above (its own first) with
     a licence file; ``inherited_from`` names that folder.  Of several licence files in a folder
-    the one of greatest cosine counts, then of least name.  Null paths have the folder '';
+    a file named as one goes first, then greatest cosine, then least name.  Null paths have the folder '';
     null and empty texts have no licence of their own; repeated rows stay.
     """
     new = ("own_license", "cosine", "share")
@@ -161,8 +162,9 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text") -> D
     scanned = rows.mapInArrow(run, f"{schema}, own_license string, cosine double, share double")
     named = F.col(path).rlike(r"(?i)(^|/)(licen[sc]e|copying|unlicense)[^/]*\z")
     is_file = F.col("own_license").isNotNull() & ((F.col("share") >= FILE_SHARE) | F.coalesce(named, F.lit(False)))
-    scanned = scanned.withColumn("is_license_file", is_file)
-    order = F.struct(-F.col("cosine"), F.coalesce(F.col(path), F.lit("")), "own_license")
+    # Without the texts this is small; three branches read it.
+    scanned = materialise(scanned.withColumn("is_license_file", is_file))
+    order = F.struct(~F.coalesce(named, F.lit(False)), -F.col("cosine"), F.coalesce(F.col(path), F.lit("")), "own_license")
     granted = scanned.where("is_license_file").groupBy("__dir").agg(F.min(order).alias("o")).select(F.col("__dir").alias("__above"), F.col("o.own_license").alias("granted"))
     # Each folder with all above it; the nearest is the longest.
     folders = scanned.select("__dir").distinct()
