@@ -35,7 +35,6 @@ STOP_WORDS = frozenset(
 )
 
 _SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()\-|]")
-_UPPER, _LOWER = re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"[a-zß-öø-ÿ]")
 _RUN = re.compile(r"[^\w\s]{2,}")
 
 
@@ -52,8 +51,7 @@ def votes(text: str | None) -> tuple[int, ...]:
     if not n:
         return (NONE, NONE, NONE, JUNK, NONE, NONE, NONE, NONE, NONE)
     symbols = len(_SYMBOL.findall(text)) / len(text)
-    upper, lower = len(_UPPER.findall(text)), len(_LOWER.findall(text))
-    shouting = upper / (upper + lower) if upper + lower else 0.0
+    shouting = sum(map(str.isupper, words)) / n
     runs = len(_RUN.findall(text)) / n
     low = list(map(str.lower, words))
     cells = low.count("|") / n
@@ -123,16 +121,16 @@ def em(counts: dict[int, int], iterations: int = 100) -> tuple[dict[int, float],
     return dict(zip(codes, post.tolist(), strict=True)), rates
 
 
-_LETTER = re.compile(r"[a-zß-öø-ÿ]+")
-_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
-_DIGIT = re.compile(r"\d+")
+_MARKS = ".,;:!?'\"()[]{}*#$%&|<>/\\=+-_~^@`"
 
 
 def shape(word: str) -> str:
-    """``Word,`` -> ``Aa,``; runs of letters are their kind and how long they are, roughly."""
-    s = _CAPITAL.sub(lambda m: "A" if len(m[0]) == 1 else "AA", word)
-    s = _LETTER.sub(lambda m: "a" * min(4, 1 + len(m[0]) // 4), s)
-    return _DIGIT.sub("9", s)[:12]
+    """``Word,`` -> ``A1,``: the kind of the word inside its marks, its length by fours, the
+    first marks after it and whether there are any before it."""
+    core = word.strip(_MARKS)
+    kind = "" if not core else "9" if core.isdigit() else "AA" if core.isupper() and len(core) > 1 else "A" if core[0].isupper() else "a" if core.isalpha() else "x"
+    after = word[len(word.rstrip(_MARKS)) :][:3]
+    return f"{kind}{min(len(core) // 4, 5)}{after}{'<' if word[0] in _MARKS else ''}"
 
 
 def bucket(name: str) -> int:
