@@ -314,13 +314,14 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the row of least (doc_id, text); texts without words stay."""
+    """Pipeline stage: of each class the row of least id, null ids last; texts without words
+    stay; of rows that agree in id and text one stays."""
 
     def row_key(doc_id, text_key):
         return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"), text_key)))
 
     rows = classes(docs)
-    kept = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.*")
+    kept = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("k")).select("k.doc_id", "k.text_key")
     kept = kept.unionByName(rows.where("component IS NULL").select("doc_id", "text_key")).select(row_key(F.col("doc_id"), F.col("text_key")).alias("__row")).distinct()
     keyed = docs.withColumn("__row", row_key(F.col("doc_id").cast("long"), _text_key()))
     return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)

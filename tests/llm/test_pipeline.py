@@ -45,3 +45,37 @@ def test_stages_decide(spark, sf_dir):
 
 def test_run_equals_stages(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, node string, blob string, band long, sig binary, extra struct<a:array<int>>"
+
+
+def odd_rows():
+    tail = (None, None, None, 0.5, "n", "b", 7, b"s", ([1, None],))
+    text = "some words that are long enough to be a text of its own and no other"
+    rows = [(1, None), (2, ""), (2, ""), (3, text), (4, text), (4, text), (None, "another " + text), (5, "key token = abcdefgh12 " + "w " * 60000), (6, "!!! ???"), (None, None)]
+    return [(*r, *tail) for r in rows]
+
+
+def test_stages_take_odd_rows(spark, sf_dir):
+    odd = spark.createDataFrame(odd_rows(), ODD)
+    expected = {"toxicity": 10, "near_duplicates": 6, "decontamination": 10, "secrets": 10, "bpe": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, sf_dir)
+        got = out.collect()
+        assert out.columns[: len(odd.columns)] == odd.columns and len(got) == expected[name], (name, len(got))
+        assert all(r.extra.a == [1, None] and r.blob == "b" and r.sig == b"s" for r in got)
+        assert stage(spark, odd.limit(0), sf_dir).count() == 0
+
+
+def test_near_duplicates_keep_one_of_each(spark, sf_dir):
+    kept = neardup.stage_neardup(spark, spark.createDataFrame(odd_rows(), ODD), sf_dir).select("doc_id", "text").collect()
+    # 3, 4, 4 and the first row without an id are one class; 2 and 2 are one row.
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "5", "6", "None"]
+
+
+def test_chained_stages_on_empty(spark, sf_dir):
+    docs = spark.createDataFrame([], ODD)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    assert docs.count() == 0
