@@ -85,10 +85,16 @@ def against_index(new: DataFrame, cached: DataFrame, same_salts: bool = True) ->
 
 
 def exact_among(new: DataFrame, order: str = "path") -> tuple[DataFrame, DataFrame]:
-    """(unique, dropped): the first book by ``order`` of each hash stays."""
-    first = Window.partitionBy("hash").orderBy(order)
-    marked = new.withColumn("__n", F.row_number().over(first)).withColumn("duplicate_of", F.first("book").over(first))
-    return marked.where("__n = 1").drop("__n", "duplicate_of"), marked.where("__n > 1").drop("__n").withColumn("reason", F.lit("exact_duplicate"))
+    """(unique, dropped): the first book by ``order`` of each hash stays.
+
+    Firsts are aggregated before the shuffle and joined back, so a hash that many books share
+    is no single task's work.
+    """
+    first = new.groupBy("hash").agg(F.min(F.struct(order, "book")).alias("f")).select("hash", F.col(f"f.{order}").alias("__at"), F.col("f.book").alias("duplicate_of"))
+    marked = new.join(first, "hash")
+    is_first = F.col(order).eqNullSafe(F.col("__at")) & F.col("book").eqNullSafe(F.col("duplicate_of"))
+    unique = marked.where(is_first).select(new.columns)
+    return unique, marked.where(~is_first).select(*new.columns, "duplicate_of", F.lit("exact_duplicate").alias("reason"))
 
 
 def greedy(near, count) -> list[tuple[int, int]]:
