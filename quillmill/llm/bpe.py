@@ -32,6 +32,8 @@ MIN_CHUNK, AVG_CHUNK, MAX_CHUNK = 1024, 4096, 16384
 WINDOW = 48
 #: Raw bytes of chunks that a map task holds before it hands them on.
 FLUSH_BYTES = 32 << 20
+#: Compression of what is shuffled.
+LEVEL = 6
 #: Tokens on each side of a joint that are encoded again at first.
 FIRST_WINDOW = 8
 
@@ -177,19 +179,19 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def _digests(c: Codec, ids: list[int]) -> tuple[int, str, str]:
-    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()
+def _digests(c: Codec, ids: list[int]) -> tuple[int, bytes, bytes]:
+    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).digest(), hashlib.sha256(c.decode(ids)).digest()
 
 
 _CHUNK_SCHEMA = "h binary, data binary, uses binary"
-_PIECE_SCHEMA = "text_key binary, pos int, n int, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
+_PIECE_SCHEMA = "text_key binary, pos int, n int, ids binary, n_tokens long, ids_sha256 binary, decoded_sha256 binary"
 _USE = "<16sII"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=3, write_checksum=False)
+    squeeze = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False)
     held: dict[bytes, list] = {}
     size = 0
 
@@ -218,7 +220,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.string())
+    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
     names = ["text_key", "pos", "n", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -228,7 +230,7 @@ def _encode(path: str):
         """Rows come sorted by chunk, so each chunk of the partition is encoded once."""
         import zstandard
 
-        c, squeeze, expand = codec(path), zstandard.ZstdCompressor(level=3, write_checksum=False), zstandard.ZstdDecompressor()
+        c, squeeze, expand = codec(path), zstandard.ZstdCompressor(level=LEVEL, write_checksum=False), zstandard.ZstdDecompressor()
         last, ids, packed, digests, seen = None, [], b"", None, set()
         rows: list[tuple] = []
         for batch in batches:
@@ -301,10 +303,11 @@ def encode_texts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         .mapInArrow(_encode(path), _PIECE_SCHEMA)
     )
     done = pieces.repartition("text_key").sortWithinPartitions("text_key", "pos").mapInArrow(_assemble(path), _PIECE_SCHEMA)
-    done = done.select(F.lower(F.hex("text_key")).alias("__key"), "n_tokens", "ids_sha256", "decoded_sha256", F.col("n").cast("long").alias("n_chunks"))
+    done = done.select(F.col("text_key").alias("__key"), "n_tokens", "ids_sha256", "decoded_sha256", F.col("n").cast("long").alias("n_chunks"))
     out = ["n_tokens", "ids_sha256", "decoded_sha256", "n_chunks"]
-    keyed = df.select(*(c for c in df.columns if c not in out), F.md5(text_or_empty(F.col(text)).cast("binary")).alias("__key"))
-    return keyed.join(done, "__key", "left").drop("__key")
+    keyed = df.select(*(c for c in df.columns if c not in out), F.unhex(F.md5(text_or_empty(F.col(text)).cast("binary"))).alias("__key"))
+    joined = keyed.join(done, "__key", "left").drop("__key")
+    return joined.withColumns({c: F.lower(F.hex(c)) for c in ("ids_sha256", "decoded_sha256")})
 
 
 def encode_ids(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
