@@ -31,7 +31,7 @@ MAX_FEATURES = 6000
 #: Lengths of word beginnings that are features.
 PREFIXES = (4, 5, 6)
 #: Weights of the penalties on the weights themselves and on counterfactual changes.
-L2, COUNTERFACTUAL = 1e-5, 5.0
+L2, COUNTERFACTUAL = 1e-4, 5.0
 #: Least z value of the difference of a feature's frequency between the classes.
 LEAST_Z = 3.0
 THRESHOLD = 0.3
@@ -166,9 +166,31 @@ def fit(rows: list[tuple[int, bytes, list[str]]], prior: float, iterations: int
         rate = 0.1 / (1 + step / 50)
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         bias -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.99**step)) + 1e-8)
-    weights[best] = w
-    prior = min(max(prior, 1e-3), 1 - 1e-3)
-    return weights, float(bias + np.log(prior / (1 - prior)))
+    z = np.bincount(row, value * w[col], len(y)) + bias
+    slope, shift = calibrate(z, y, min(max(prior, 1e-3), 1 - 1e-3))
+    weights[best] = slope * w
+    return weights, float(slope * bias + shift)
+
+
+def calibrate(z: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift that make slope * z + shift the log odds at the given prior (Platt
+    scaling with its smoothed targets, by Newton steps)."""
+    n1, n0 = y.sum(), len(y) - y.sum()
+    goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(y == 1, prior / n1, (1 - prior) / n0)
+    a, b = 1.0, float(np.log(prior / (1 - prior)))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
+        g, h = weight * (p - goal), weight * p * (1 - p) + 1e-9 * weight
+        ga, gb = (g * z).sum(), g.sum()
+        haa, hab, hbb = (h * z * z).sum() + 1e-9, (h * z).sum(), h.sum() + 1e-9
+        det = haa * hbb - hab * hab
+        if det <= 1e-15:
+            break
+        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
+        size = max(1.0, abs(da), abs(db) / 3)
+        a, b = a - da / size, b - db / size
+    return (a, b) if a > 0 else (1.0, float(np.log(prior / (1 - prior))))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> tuple[np.ndarray, float]:
