@@ -74,7 +74,11 @@ def drop_repeats(body: str, window: int = 4, least_chars: int = 120, similarity:
     bare = [line.strip() for line in raw]
 
     def alike(a: str, b: str) -> bool:
-        return a == b or bool(a and b) and SequenceMatcher(None, a, b).ratio() >= similarity
+        if a == b or not (a and b):
+            return a == b
+        m = SequenceMatcher(None, a, b)
+        # Both quick ratios are upper bounds.
+        return m.real_quick_ratio() >= similarity and m.quick_ratio() >= similarity and m.ratio() >= similarity
 
     def block_end(first: int, again: int) -> int:
         """The line after the block that repeats ``first`` from ``again`` on."""
@@ -106,10 +110,15 @@ def drop_repeats(body: str, window: int = 4, least_chars: int = 120, similarity:
 
 def may_repeat(body: Column, window: int = 4) -> Column:
     """Whether some run of ``window`` lines stands twice; others need no Python."""
-    lines = F.transform(F.split(body, "\n", -1), strip)
-    last = F.size(lines) - window
-    runs = F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last + 1, F.lit(1))), lambda i: F.array_join(F.slice(lines, i, window), "")))
-    return F.coalesce(F.size(F.array_distinct(runs)) < F.size(runs), F.lit(False))
+    def repeats(lines: Column) -> Column:
+        last = F.size(lines) - window
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(last + 1, F.lit(1))), lambda i: F.array_join(F.slice(lines, i, window), ""))
+        return F.when(last > 0, runs)
+
+    # Lambda variables keep the lines and the runs from being made again for each of them.
+    found = F.transform(F.array(F.transform(F.split(body, "\n", -1), strip)), repeats)
+    again = F.transform(found, lambda runs: F.size(F.array_distinct(runs)) < F.size(runs))
+    return F.coalesce(again[0], F.lit(False))
 
 
 def remove_repeats(df: DataFrame, body: str = "body") -> DataFrame:

@@ -19,3 +19,10 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for costly Python on a small input that came in few partitions;
+    a larger one is left as it is and not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

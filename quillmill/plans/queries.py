@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import names, similarity, text
 from quillmill.operators import dedup, export, qa, sample, segment
+from quillmill.operators.tables import spread, written
 from quillmill.sources.reports import files_per_name
 
 RULES = (r".*License.*", r".*@.*", r".*\|.*")
@@ -22,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``_docs`` for queries whose cost is Python."""
+    return spread(_docs(spark, sf_dir))
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
 
@@ -140,12 +146,12 @@ def repeated_windows(spark, sf_dir):
 
 
 def intra_dedup(spark, sf_dir):
-    out = segment.remove_repeats(_docs(spark, sf_dir).select("doc_id", F.col("text").alias("body")))
+    out = segment.remove_repeats(_spread(spark, sf_dir).select("doc_id", F.col("text").alias("body")))
     return out.select("doc_id", md5("body").alias("body_md5"), F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", "|").alias("removed"))
 
 
 def shingle_counts(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.size(similarity.shingle_hashes(F.col("text"))).cast("long").alias("n"))
+    return _spread(spark, sf_dir).select("doc_id", F.size(similarity.shingle_hashes(F.col("text"))).cast("long").alias("n"))
 
 
 # --- duplicates -----------------------------------------------------------------------------
@@ -163,21 +169,19 @@ def minhash_md5(spark, sf_dir):
 
 
 def minhash_compat(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.get(similarity.minhash(F.col("text")), F.lit(0)).alias("slot"))
+    return _spread(spark, sf_dir).select("doc_id", F.get(similarity.minhash(F.col("text")), F.lit(0)).alias("slot"))
 
 
 def minhash_distinct(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.array_join(similarity.minhash(F.col("text"), similarity.distinct_salts()), ",").alias("sig"))
+    return _spread(spark, sf_dir).select("doc_id", F.array_join(similarity.minhash(F.col("text"), similarity.distinct_salts()), ",").alias("sig"))
 
 
 def _books(spark, sf_dir):
-    return _docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("path"), "text")
+    return _spread(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("path"), "text")
 
 
 def new_vs_cached(spark, sf_dir):
     """Even documents are the index, odd ones are new."""
-    from quillmill.operators.tables import written
-
     books = written(dedup.fingerprint(_books(spark, sf_dir)).drop("text"))
     cached = books.where("CAST(book AS long) % 2 = 0").select("book", F.col("book").cast("long").alias("pos"), "hash", "fp", "char_count")
     _, dropped = dedup.against_index(books.where("CAST(book AS long) % 2 = 1"), cached)
@@ -192,15 +196,13 @@ def new_vs_cached_exact(spark, sf_dir):
 
 
 def greedy_dedup(spark, sf_dir):
-    from quillmill.operators.tables import written
-
     unique, _ = dedup.exact_among(written(dedup.fingerprint(_books(spark, sf_dir)).drop("text")))
     _, dropped = dedup.greedy_among(written(unique))
     return dropped.select("book", "reason", "duplicate_of")
 
 
 def chapter_dups(spark, sf_dir):
-    c = _docs(spark, sf_dir).select(F.col("source").alias("book"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("body"))
+    c = _spread(spark, sf_dir).select(F.col("source").alias("book"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("body"))
     return dedup.chapter_duplicates(c).select("book", "file", "duplicate_of", F.round("similarity", 6).alias("similarity"), "reason")
 
 
