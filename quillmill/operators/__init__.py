@@ -1 +1 @@
-
+"""Operators on tables: chapters, duplicates, checks, export, samples."""

@@ -1 +1 @@
-
+"""Files, reports, pages and models, in and out."""

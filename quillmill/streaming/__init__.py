@@ -1 +1 @@
-
+"""Incremental cleaning."""

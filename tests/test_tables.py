@@ -235,3 +235,25 @@ def test_index_file_and_reports(spark, tmp_path):
     (tmp_path / "s.json").write_text('{"1": {"overall_score": 4, "comment": "x"}, "2": {}}')
     assert tuple(sample.scored_count(files.review_scores(spark, str(tmp_path / "s.json"))).first()) == (1, 1)
     assert files.dataset_descriptor()["formatting"] == "sharegpt" and "train" in reports.descriptor(files.dataset_descriptor())
+
+
+def test_logs_and_descriptions(spark, tmp_path):
+    from quillmill.operators import segment
+
+    dropped = spark.createDataFrame([("书, 一", "exact_duplicate", "二")], "book string, reason string, duplicate_of string")
+    for _ in range(2):
+        files.append_dedup_log(dropped, str(tmp_path / "log"))
+    assert spark.read.csv(str(tmp_path / "log")).count() == 2
+    removed = spark.createDataFrame([("书", "第1章", ["x" * 100 + "\ny"])], "b string, t string, r array<string>")
+    lines = removed.select(F.explode(segment.repeat_log(F.col("b"), F.col("t"), F.col("r"))).alias("value"))
+    files.append_lines(lines, str(tmp_path / "lines"))
+    assert spark.read.text(str(tmp_path / "lines")).first().value == "书 / 第1章: " + "x" * 80
+    kind = "book string, source_file string, tags array<string>, synopsis string, flags array<string>"
+    new = spark.createDataFrame([("A", "a.txt", ["t"], "s", []), ("B", "b.txt", [], "", [])], kind)
+    assert [r.book for r in files.new_descriptions(new, new.where("book = 'A'")).collect()] == ["B"]
+    index = spark.createDataFrame([("A", "cleaned", None, "a", 1, "h", ["0"], 0)], incremental.INDEX)
+    files.write_index(index, str(tmp_path / "index"))
+    files.write_index(index, str(tmp_path / "index"))
+    assert files.corpus_index(spark, str(tmp_path / "index")).first().hash == "h"
+    c = spark.createDataFrame([("b", "1"), ("b", "2")], "book string, file string")
+    assert dedup.without(c, c.where("file = '2'")).first().file == "1"
