@@ -73,9 +73,24 @@ def normalise(c: str | Column) -> Column:
     return strip_lf(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
+def rule(pattern: str) -> str:
+    """A rule as it is written in a configuration, for Java: its white space is ``SPACE``."""
+    out, in_class, at = [], False, 0
+    while at < len(pattern):
+        part = pattern[at : at + 2] if pattern[at] == "\\" else pattern[at]
+        at += len(part)
+        in_class = part == "[" or in_class and part != "]"
+        if part == r"\s":
+            part = SPACE if in_class else f"[{SPACE}]"
+        elif part == r"\S" and not in_class:
+            part = f"[^{SPACE}]"
+        out.append(part)
+    return "(?Ud)" + "".join(out)
+
+
 def any_start(patterns: Sequence[str]) -> str:
     """One pattern that holds where any of ``patterns`` matches from the start."""
-    return "(?Ud)^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+    return "(?Ud)^(?:" + "|".join(f"(?:{rule(p)})" for p in patterns) + ")"
 
 
 def remove_lines(c: str | Column, patterns: Sequence[str] = AD_PATTERNS) -> Column:
@@ -110,7 +125,7 @@ def tags(c: str | Column, patterns: Sequence[str] = TAG_PATTERNS, head: int = 30
     def of(line: Column) -> Column:
         found = []
         for p in patterns:
-            p = "(?Ud)" + p
+            p = rule(p)
             cut = F.split(F.regexp_extract(line, p, 2), rf"(?Ud)[，,、/{SPACE}]+", -1)
             found.append(F.when(line.rlike(p), F.filter(cut, lambda t: t != "")).otherwise(F.array().cast("array<string>")))
         return F.concat(*found)
