@@ -137,6 +137,7 @@ def stats(chapters: DataFrame, found: DataFrame) -> DataFrame:
         F.count_if(F.col("issue_type") == SHORT_BODY).alias("short_chapters"),
         F.count_distinct(F.when(~F.col("issue_type").isin(MALFORMED, UNREADABLE), F.col("file"))).alias("chapters_with_issues"),
     )
+    # One row each.
     return a.join(b)
 
 
