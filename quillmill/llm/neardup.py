@@ -43,8 +43,8 @@ SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 #: Slots that must agree before a pair is verified.
 LEAST_EQUAL = SLOTS // 2 + 1
-#: Nodes of a bucket in one block of the second comparison.
-BLOCK = 512
+#: Nodes of a bucket in one block of the second comparison, and characters of their texts.
+BLOCK, BLOCK_CHARS = 512, 8_000_000
 
 _U64 = np.uint64
 
@@ -278,14 +278,16 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = stars.join(sig_b, "b").join(sig_a, "a").select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a binary, b binary")
 
     fetch = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
-    texts = materialise(docs.select(_text_key().alias("text_key"), "text").join(fetch, "text_key").dropDuplicates(["text_key"]).select("node", "text"))
+    texts = materialise(docs.select(_text_key().alias("text_key"), "text").join(fetch, "text_key").dropDuplicates(["text_key"]).select("node", "text", F.length("text").cast("long").alias("size")))
     links = materialise(_linked(stars, texts))
     found = materialise(components(links))
 
     # Buckets that are not in one component: compare across components.
-    placed = members.join(found, "node", "left").select("i", "band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x != y").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = materialise(placed.join(mixed, "band"))
+    placed = members.join(found, "node", "left").join(texts.select("node", "size"), "node").select("i", "band", "node", "size", F.coalesce("component", "node").alias("component"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS)).cast("int")
+    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.sum("size").alias("chars"))
+    mixed = mixed.where("x != y").select("band", blocks.alias("blocks"))
+    rows = materialise(placed.drop("size").join(mixed, "band"))
     sets = rows.select("node").distinct().join(texts, "node").select("node", "text").mapInArrow(_elements, "node binary, elements binary")
     rows = rows.join(sigs, "node").join(sets, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))

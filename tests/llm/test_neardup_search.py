@@ -52,6 +52,7 @@ def test_classes_equal_brute_force(spark):
 
 def test_cross_links_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCK_CHARS", 3000)
     test_classes_equal_brute_force(spark)
 
 
