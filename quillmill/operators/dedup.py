@@ -200,10 +200,20 @@ def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame
     ``chapters``: book, file (name, in order), body.  Stage 1: equal first paragraphs (10
     characters or more, without marks); the longer stays, the earlier of equals.  Stage 2: the
     first 30 characters of a first paragraph inside another body, for pairs that stage 1 did
-    not compare; the longer stays, the prober of equals.  A file is listed once.
+    not compare; the longer stays, the prober of equals.  A file is listed once, with its first
+    record.
+
+    Files with the same body are compared as one, the first of them: each later one is a
+    duplicate of the first file that deletes it in stage 1, which is the first of the same body
+    or the first of a body that is similar and not shorter.  So copies make no pairs.
     """
     c = chapters.where(F.coalesce(F.length("body"), F.lit(0)) > 0)
     c = c.withColumn("para", first_paragraph("body")).withColumn("norm", dedup_form(F.col("para"))).withColumn("n", F.length("body")).withColumn("key", F.substring("para", 1, 30))
+    alone = (F.length("norm") < 10) | (dedup_form("body") == "")
+    c = c.withColumn("same", F.when(alone, F.col("file")).otherwise(F.md5(F.col("body").cast("binary"))))
+    leads = c.groupBy("book", "same").agg(F.min("file").alias("lead"))
+    copies = c.select("book", "file", "same").join(leads, ["book", "same"]).where("file != lead").select("book", "file", "lead")
+    c = c.join(leads.select("book", F.col("lead").alias("file")), ["book", "file"], "left_semi").drop("same")
     thin = c.select("book", "file", "norm", "n")
     a, b = (thin.select("book", "norm", F.col("file").alias(f"file_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     first = a.where(F.length("norm") >= 10).join(b, ["book", "norm"]).where("file_a < file_b")
@@ -223,16 +233,21 @@ def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame
     sets = c.select("book", "file", F.when(dedup_form("body") == "", F.array().cast("array<long>")).otherwise(shingle_hashes(dedup_form("body"))).alias("s"))
     sa, sb = (sets.select("book", F.col("file").alias(f"file_{x}"), F.col("s").alias(f"s_{x}")) for x in "ab")
     scored = pairs.join(sa, ["book", "file_a"]).join(sb, ["book", "file_b"]).withColumn("similarity", jaccard(F.col("s_a"), F.col("s_b"))).where(F.col("similarity") >= threshold)
-    share = F.format_string("%.1f%%", F.col("similarity") * 100)
-    named = scored.select(
+    deleted = scored.select(
         "book",
         F.when(F.col("keep_a"), F.col("file_b")).otherwise(F.col("file_a")).alias("file"),
         F.when(F.col("keep_a"), F.col("file_a")).otherwise(F.col("file_b")).alias("duplicate_of"),
-        "similarity",
-        F.concat(F.when(F.col("stage") == 1, "首段相同，全文相似").otherwise("首段命中，全文相似"), share).alias("reason"),
-        "stage", "prober", "other",
+        "similarity", "stage", "prober", "other",
     )
-    return keep_first(named, ["book", "file"], ["stage", "prober", "other"]).drop("stage", "prober", "other")
+    earlier = deleted.where("stage = 1 AND duplicate_of < file").groupBy("book", F.col("file").alias("lead")).agg(F.min(F.struct("duplicate_of", "similarity")).alias("e"))
+    copied = copies.join(earlier, ["book", "lead"], "left").select(
+        "book", "file", F.coalesce("e.duplicate_of", "lead").alias("duplicate_of"), F.coalesce("e.similarity", F.lit(1.0)).alias("similarity"),
+        F.lit(1).alias("stage"),
+    )
+    first_records = keep_first(deleted, ["book", "file"], ["stage", "prober", "other"]).select(copied.columns)
+    share = F.format_string("%.1f%%", F.col("similarity") * 100)
+    reason = F.concat(F.when(F.col("stage") == 1, "首段相同，全文相似").otherwise("首段命中，全文相似"), share)
+    return first_records.unionByName(copied).select("book", "file", "duplicate_of", "similarity", reason.alias("reason"))
 
 
 def without(chapters: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -148,6 +148,66 @@ def test_chapter_duplicates(spark):
     assert ("1", "2", "首段相同") in got and all(f != "4" for f, _, _ in got)
 
 
+def brute_chapter_duplicates(rows, threshold=0.8):
+    """The two stages as nested loops over the chapters of each book, in file order."""
+    import re
+
+    from quillmill.functions.similarity import shingle_set
+
+    def form(t):
+        return re.sub(r"""[，。！？、；：《》（）【】.,!?;:'"()\[\]{}]""", "", re.sub(r"\s+", "", t))
+
+    def para(t):
+        good = [p.strip() for p in re.split(r"\n\s*\n", t) if len(p.strip()) >= 20]
+        return good[0] if good else t[:100]
+
+    def similar(a, b):
+        x, y = form(a), form(b)
+        if not x or not y:
+            return 0.0
+        p, q = shingle_set(x), shingle_set(y)
+        return len(p & q) / len(p | q)
+
+    out = {}
+    for book in {b for b, _, _ in rows}:
+        c = sorted((f, t) for b, f, t in rows if b == book and t)
+        seen, found = set(), []
+        for i, (f, t) in enumerate(c):
+            for g, u in c[i + 1 :]:
+                if form(para(t)) == form(para(u)) and len(form(para(t))) >= 10:
+                    seen.add((f, g))
+                    if similar(t, u) >= threshold:
+                        found.append((g, f) if len(t) >= len(u) else (f, g))
+        for f, t in c:
+            if len(para(t)) < 30:
+                continue
+            for g, u in c:
+                pair = (min(f, g), max(f, g))
+                if g != f and pair not in seen and para(t)[:30] in u:
+                    seen.add(pair)
+                    if similar(t, u) >= threshold:
+                        found.append((g, f) if len(t) >= len(u) else (f, g))
+        for gone, kept in found:
+            out.setdefault((book, gone), kept)
+    return {(b, f, k) for (b, f), k in out.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chapter_duplicates_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    heads = ["这一段的开头足够长，可以作为搜索的关键词使用，因为它超过了三十个字符。", "另一个开头，同样写得足够长才会被当作段落来看待，这里也有三十多个字符。", "短开头", "！！！！" * 9]
+    pool = ["".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(300)) for _ in range(3)]
+    rows = []
+    for i in range(70):
+        core = rng.choice(pool)
+        cut = rng.choice([0, 0, 0, 3, 6, 30])
+        core = core[: len(core) - cut] + rng.choice(["", "", "尾"])
+        body = rng.choice(heads) + "\n\n" + core if rng.random() < 0.8 else core + "\n\n" + rng.choice(heads) + core[:50]
+        rows.append((rng.choice("ab"), f"{i:03d}", rng.choice([body, body, body, "", "！。" * 30])))
+    got = dedup.chapter_duplicates(spark.createDataFrame(rows, "book string, file string, body string"))
+    assert {(r.book, r.file, r.duplicate_of) for r in got.collect()} == brute_chapter_duplicates(rows)
+
+
 def test_sample(spark):
     df = spark.range(100).select(F.format_string("%03d", F.col("id")).alias("file"), F.lit("b").alias("book"))
     got = [(r.sample_no, r.file) for r in sample.sample(df, ["file"], 5, 42).orderBy("sample_no").collect()]
