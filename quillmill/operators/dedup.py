@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.similarity import bands, equal_share, jaccard, length_ratio, minhash, minimizer_column, shingle_hashes
 from quillmill.functions.text import dedup_form, first_paragraph
+from quillmill.operators.tables import written
 
 LEAST_RATIO, LEAST_SIMILARITY = 0.85, 0.8
 
@@ -123,8 +124,6 @@ def greedy(near, count) -> list[tuple[int, int]]:
 
 def components(pairs: DataFrame) -> DataFrame:
     """(id, component) of the nodes in ``pairs`` (a, b): least ids spread until none changes."""
-    from quillmill.operators.tables import written
-
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both)
     label = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed("a", "id")
@@ -207,22 +206,24 @@ def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame
     duplicate of the first file that deletes it in stage 1, which is the first of the same body
     or the first of a body that is similar and not shorter.  So copies make no pairs.
     """
-    c = chapters.where(F.coalesce(F.length("body"), F.lit(0)) > 0)
-    c = c.withColumn("para", first_paragraph("body")).withColumn("norm", dedup_form(F.col("para"))).withColumn("n", F.length("body")).withColumn("key", F.substring("para", 1, 30))
+    chapters = chapters.where(F.coalesce(F.length("body"), F.lit(0)) > 0).select("book", "file", "body")
+    formed = chapters.withColumn("para", first_paragraph("body")).withColumn("norm", dedup_form(F.col("para")))
     alone = (F.length("norm") < 10) | (dedup_form("body") == "")
-    c = c.withColumn("same", F.when(alone, F.col("file")).otherwise(F.md5(F.col("body").cast("binary"))))
-    leads = c.groupBy("book", "same").agg(F.min("file").alias("lead"))
-    copies = c.select("book", "file", "same").join(leads, ["book", "same"]).where("file != lead").select("book", "file", "lead")
-    c = c.join(leads.select("book", F.col("lead").alias("file")), ["book", "file"], "left_semi").drop("same")
-    thin = c.select("book", "file", "norm", "n")
+    same = F.when(alone, F.col("file")).otherwise(F.md5(F.col("body").cast("binary")))
+    # Everything but the bodies, made once.
+    facts = written(formed.select("book", "file", "norm", F.length("body").alias("n"), F.substring("para", 1, 30).alias("key"), same.alias("same")))
+    leads = facts.groupBy("book", "same").agg(F.min("file").alias("lead"))
+    copies = facts.join(leads, ["book", "same"]).where("file != lead").select("book", "file", "lead")
+    thin = facts.join(leads.select("book", F.col("lead").alias("file")), ["book", "file"], "left_semi").drop("same")
+    c = chapters.join(thin.select("book", "file"), ["book", "file"], "left_semi")
     a, b = (thin.select("book", "norm", F.col("file").alias(f"file_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     first = a.where(F.length("norm") >= 10).join(b, ["book", "norm"]).where("file_a < file_b")
     first = first.select("book", "file_a", "file_b", (F.col("n_a") >= F.col("n_b")).alias("keep_a"), F.lit(1).alias("stage"))
 
     # A body that contains a key has the key's minimizer among its own: an equi-join finds all.
-    probe = c.where(F.length("para") >= 30).select("book", F.col("file").alias("prober"), "key", F.col("n").alias("n_p"), F.get(minimizer_column(F.col("key")), F.lit(0)).alias("m"))
-    body = c.select("book", F.col("file").alias("other"), "n", F.explode(minimizer_column(F.col("body"))).alias("m"))
-    near = probe.join(body.withColumnRenamed("n", "n_o"), ["book", "m"]).where("prober != other")
+    probe = thin.where(F.length("key") >= 30).select("book", F.col("file").alias("prober"), "key", F.col("n").alias("n_p"), F.get(minimizer_column(F.col("key")), F.lit(0)).alias("m"))
+    body = c.select("book", F.col("file").alias("other"), F.length("body").alias("n_o"), F.explode(minimizer_column(F.col("body"))).alias("m"))
+    near = probe.join(body, ["book", "m"]).where("prober != other")
     hits = near.join(c.select("book", F.col("file").alias("other"), "body"), ["book", "other"]).where(F.contains(F.col("body"), F.col("key"))).drop("body", "key", "m")
     hits = hits.withColumn("file_a", F.least("prober", "other")).withColumn("file_b", F.greatest("prober", "other"))
     hits = keep_first(hits, ["book", "file_a", "file_b"], ["prober"]).join(first, ["book", "file_a", "file_b"], "left_anti")
