@@ -133,22 +133,27 @@ def fit(rows: list[tuple[int, bytes, list[str]]], prior: float, iterations: int
     y = np.array([r[0] for r in rows], "f8")
     if not len(y) or y.min() == y.max():
         return weights, float(np.log((prior + 1e-3) / (1 - prior + 1e-3)))
-    bags = [np.unique(np.frombuffer(r[1], "<u4"), return_counts=True) for r in rows]
-    size = np.array([len(b[0]) for b in bags])
-    index, value = np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]).astype("f8")
-    row = np.repeat(np.arange(len(rows)), size)
-    # Balanced: each class has half of the weight; the bias is set for the prior afterwards.
+    # Balanced: each class has half of the weight; the scores are set for the prior afterwards.
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     n1, n0 = y.sum(), len(y) - y.sum()
-    p1 = (np.bincount(index, y[row], 1 << BITS) + 0.5) / (n1 + 1)
-    p0 = (np.bincount(index, 1 - y[row], 1 << BITS) + 0.5) / (n0 + 1)
+    # Row by row, so that only the chosen features of all rows are held at once.
+    df = np.zeros((2, 1 << BITS))
+    for label, found, _ in rows:
+        df[label, np.unique(np.frombuffer(found, "<u4"))] += 1
+    p1, p0 = (df[1] + 0.5) / (n1 + 1), (df[0] + 0.5) / (n0 + 1)
     tell = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1).clip(1e-6) / n1 + p0 * (1 - p0).clip(1e-6) / n0)
     best = np.sort(np.argsort(-tell, kind="stable")[:MAX_FEATURES])
     best = best[tell[best] > LEAST_Z]
     column = np.full(1 << BITS, -1)
     column[best] = np.arange(len(best))
-    kept = column[index] >= 0
-    row, col, value = row[kept], column[index[kept]], np.minimum(value[kept], 3.0)
+    cols, values, sizes = [], [], []
+    for _, found, _ in rows:
+        at, n = np.unique(np.frombuffer(found, "<u4"), return_counts=True)
+        kept = column[at] >= 0
+        cols.append(column[at[kept]])
+        values.append(np.minimum(n[kept], 3.0))
+        sizes.append(len(cols[-1]))
+    row, col, value = np.repeat(np.arange(len(rows)), sizes), np.concatenate(cols), np.concatenate(values)
     pairs = [([column[i] for i in a if column[i] >= 0], [column[i] for i in b if column[i] >= 0]) for a, b in counterfactuals([r[2] for r in rows])]
     pairs = [p for p in pairs if p[0] or p[1]]
     w, bias = np.zeros(len(best)), 0.0
