@@ -106,3 +106,15 @@ def test_records_nulls_ties_and_empty(spark):
     got = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.canonical_turns(chat.records(rows), "record").collect()}
     assert got == {1: [("user", ""), ("user", ""), ("", "x")], None: [("user", "n")]}
     assert chat.records(rows.limit(0)).count() == 0
+
+
+def test_large_text_keeps_its_turn(spark, tmp_path):
+    spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), F.expr("repeat('xy', 10000100)").alias("text")).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in chat.op5_chat(spark, str(tmp_path)).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256) == (1, 20_000_200, hashlib.sha256(b"xy" * 10_000_100).hexdigest())
+
+
+def test_large_json_record_keeps_its_turns(spark):
+    d = spark.range(1).select(F.concat(F.lit('{"prompt": "q\\n\\"r\\":", "completion": "'), F.expr("repeat('xy', 10000100)"), F.lit('"}')).alias("record"))
+    got = chat.canonical_turns(d, "record").select("layout", "turns").first()
+    assert got.layout == "prompt_completion" and [tuple(t) for t in got.turns] == [("user", 'q\n"r":'), ("assistant", "xy" * 10_000_100)]
