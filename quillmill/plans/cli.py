@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import pathlib
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +55,15 @@ def _books(spark: SparkSession, root: str) -> DataFrame:
     return files.book_files(spark, f"{root}/cleaned").withColumn("book", F.col("folder"))
 
 
-def _save(root: str, name: str, text: str) -> None:
+def _save(root: str, name: str, text: str | Iterable[str]) -> None:
+    """Write a text, or lines as they come."""
     path = pathlib.Path(files.confined(root, name))
     path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text, encoding="utf-8")
+    with path.open("w", encoding="utf-8") as out:
+        if isinstance(text, str):
+            out.write(text)
+        else:
+            out.writelines(("\n" if i else "") + line for i, line in enumerate(text))
     print(path)
 
 
@@ -119,13 +125,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
             if a.use_ai:
                 ask = client or model.http_client(a.llm_base_url, a.llm_model, a.api_key, **model.VERIFY)
                 found = qa.issues(with_world, verified(found, chapters, ask))
-            _save(root, "reports/validation.txt", reports.validation(qa.stats(chapters, found), qa.issue_counts(found), found))
+            _save(root, "reports/validation.txt", reports.validation_lines(qa.stats(chapters, found), qa.issue_counts(found), found))
             return
         absent = found.where(F.col("issue_type") == qa.NOT_IN_BODY).select("file", F.col("detail").alias("character"))
         if a.report:
             absent = files.report_problems(spark.read.text(files.confined(root, a.report), wholetext=True), confirmed=a.verb == "final")
         checked = qa.recheck(absent, chapters) if a.verb == "recheck" or not a.report else absent.withColumn("confirmed", F.lit(True))
-        text = reports.rechecked(checked) if a.verb == "recheck" else reports.final(qa.final_names(checked))
+        text = reports.rechecked_lines(checked) if a.verb == "recheck" else reports.final_lines(qa.final_names(checked))
         _save(root, f"reports/{a.verb}.txt", text)
     elif a.verb == "score":
         scored = qa.scores(chapters)
@@ -138,7 +144,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
         _save(root, "sample_check/sample.txt" if a.verb == "sample" else a.output, text)
     elif a.verb == "dups":
         rows = dedup.chapter_duplicates(chapters.select("book", "file", "body"), a.threshold)
-        _save(root, "reports/duplicates.txt", reports.duplicates(rows))
+        _save(root, "reports/duplicates.txt", reports.duplicates_lines(rows))
         if a.delete:
             for r in rows.select("file").toLocalIterator():
                 pathlib.Path(files.confined(root, r.file.removeprefix("file:"))).unlink()

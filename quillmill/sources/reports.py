@@ -1,37 +1,51 @@
-"""Texts for people, rendered on the driver from aggregated or sampled (bounded) tables."""
+"""Texts for people, rendered on the driver.
+
+Reports that list every row of a table are streams of lines, so that the driver holds one
+partition at a time; samples and counts are bounded.
+"""
 
 from __future__ import annotations
 
 import html as _html
 import json
+from collections.abc import Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most lines of one kind that a rendered report lists; the tables hold all.
-LISTED = 5000
-
-
 def _head(title: str, now: datetime | None) -> list[str]:
     return ["=" * 60, title, f"生成时间: {(now or datetime.now()):%Y-%m-%d %H:%M:%S}", "=" * 60, ""]
 
 
-def validation(stats: DataFrame, counts: DataFrame, found: DataFrame, now: datetime | None = None) -> str:
-    """Statistics, counts by type and the issues, numbered within their type."""
+def validation_lines(stats: DataFrame, counts: DataFrame, found: DataFrame, now: datetime | None = None) -> Iterator[str]:
+    """Statistics, counts by type and all issues, numbered within their type."""
     s = stats.first().asDict()
     by = {r.issue_type: r.n for r in counts.orderBy(F.desc("n"), "issue_type").collect()}
-    out = _head("标注验证报告", now) + [f"{k}: {v}" for k, v in s.items()] + [f"问题总数: {sum(by.values())}", ""]
+    yield from [*_head("标注验证报告", now), *(f"{k}: {v}" for k, v in s.items()), f"问题总数: {sum(by.values())}", ""]
     for kind, n in by.items():
-        rows = found.where(F.col("issue_type") == kind).orderBy("file", "detail").limit(LISTED).collect()
-        out += [f"  [{kind}] {n}", *(f"    {i}. {r.file}: {r.detail}" for i, r in enumerate(rows, 1)), ""]
-    return "\n".join(out)
+        rows = found.where(F.col("issue_type") == kind).orderBy("file", "detail").toLocalIterator()
+        yield f"  [{kind}] {n}"
+        yield from (f"    {i}. {r.file}: {r.detail}" for i, r in enumerate(rows, 1))
+        yield ""
 
 
-def rechecked(rows: DataFrame, now: datetime | None = None) -> str:
+def validation(stats: DataFrame, counts: DataFrame, found: DataFrame, now: datetime | None = None) -> str:
+    return "\n".join(validation_lines(stats, counts, found, now))
+
+
+def rechecked_lines(rows: DataFrame, now: datetime | None = None) -> Iterator[str]:
+    """All confirmed problems, then all false alarms.  Only the former are numbered with a dot,
+    by which ``report_problems`` knows them."""
     counts = rows.agg(F.count_if("confirmed").alias("yes"), F.count_if(~F.col("confirmed")).alias("no")).first()
-    listed = rows.where("confirmed").orderBy("file", "character").limit(LISTED).collect()
-    return "\n".join([*_head("二次验证报告", now), f"确认问题: {counts.yes}", f"误报: {counts.no}", "", "【确认问题列表】", *(f"  {i}. {r.file}: {r.character}" for i, r in enumerate(listed, 1))])
+    yield from [*_head("二次验证报告", now), f"确认问题: {counts.yes}", f"误报: {counts.no}", "", "【确认问题列表】"]
+    yield from (f"  {i}. {r.file}: {r.character}" for i, r in enumerate(rows.where("confirmed").orderBy("file", "character").toLocalIterator(), 1))
+    yield from ["", "【误报列表】"]
+    yield from (f"  - {r.file}: {r.character}" for r in rows.where(~F.col("confirmed")).orderBy("file", "character").toLocalIterator())
+
+
+def rechecked(rows: DataFrame, now: datetime | None = None) -> str:
+    return "\n".join(rechecked_lines(rows, now))
 
 
 def files_per_name(names: DataFrame) -> DataFrame:
@@ -39,15 +53,32 @@ def files_per_name(names: DataFrame) -> DataFrame:
     return names.where("specific").groupBy("character").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("file")).alias("files"))
 
 
+def final_lines(names: DataFrame, now: datetime | None = None) -> Iterator[str]:
+    """All specific names with their files, then all descriptive ones, which can be ignored."""
+    yield from _head("最终检查报告", now)
+    for r in files_per_name(names).orderBy("character").toLocalIterator():
+        yield f"{r.character} ({r.n})"
+        yield from (f"    {f}" for f in r.files)
+    rest = names.where(~F.col("specific"))
+    yield from ["", f"【可忽略的描述性角色】({rest.count()} 个)"]
+    yield from (f"  - {r.file}: {r.character}" for r in rest.orderBy("character", "file").toLocalIterator())
+
+
 def final(names: DataFrame, now: datetime | None = None) -> str:
-    rows = files_per_name(names).orderBy("character").limit(LISTED).collect()
-    return "\n".join([*_head("最终检查报告", now), *(line for r in rows for line in (f"{r.character} ({r.n})", *(f"    {f}" for f in r.files)))])
+    return "\n".join(final_lines(names, now))
+
+
+def duplicates_lines(rows: DataFrame, now: datetime | None = None) -> Iterator[str]:
+    """All books with their counts, then all duplicates."""
+    yield from _head("章节去重报告", now)
+    per = rows.groupBy("book").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "book")
+    yield from (f"{r.book}: {r.n}" for r in per.toLocalIterator())
+    yield ""
+    yield from (f"{i}. {r.file} -> {r.duplicate_of} ({r.reason})" for i, r in enumerate(rows.orderBy("book", "file").toLocalIterator(), 1))
 
 
 def duplicates(rows: DataFrame, now: datetime | None = None) -> str:
-    per = rows.groupBy("book").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "book").limit(LISTED).collect()
-    listed = rows.orderBy("book", "file").limit(LISTED).collect()
-    return "\n".join([*_head("章节去重报告", now), *(f"{r.book}: {r.n}" for r in per), "", *(f"{i}. {r.file} -> {r.duplicate_of} ({r.reason})" for i, r in enumerate(listed, 1))])
+    return "\n".join(duplicates_lines(rows, now))
 
 
 def sampled(sample: DataFrame, found: DataFrame, now: datetime | None = None) -> str:

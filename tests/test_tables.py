@@ -317,3 +317,20 @@ def test_logs_and_descriptions(spark, tmp_path):
     assert files.corpus_index(spark, str(tmp_path / "index")).first().hash == "h"
     c = spark.createDataFrame([("b", "1"), ("b", "2")], "book string, file string")
     assert dedup.without(c, c.where("file = '2'")).first().file == "1"
+
+
+def test_reports_list_every_row(spark):
+    n = 5003
+    file = F.format_string("cleaned/b/%05d.md", "id")
+    found = spark.range(n).select(file.alias("file"), F.lit(qa.NOT_IN_BODY).alias("issue_type"), F.concat(F.lit("n"), "id").alias("detail"))
+    text = reports.validation(spark.range(1), found.groupBy("issue_type").agg(F.count("*").alias("n")), found)
+    again = files.report_problems(spark.createDataFrame([(text,)], "value string"))
+    assert again.count() == n
+    checked = spark.range(2 * n).select(file.alias("file"), F.concat(F.lit("n"), "id").alias("character"), (F.col("id") < n).alias("confirmed"))
+    text = reports.rechecked(checked)
+    assert text.partition("【误报列表】")[2].count("cleaned") == n
+    assert files.report_problems(spark.createDataFrame([(text,)], "value string"), confirmed=True).count() == n
+    text = reports.final(checked.withColumn("specific", F.col("confirmed")))
+    assert text.partition("【可忽略的描述性角色】")[0].count("cleaned") == n == text.partition("【可忽略的描述性角色】")[2].count("cleaned")
+    dups = spark.range(n).select(F.concat(F.lit("b"), "id").alias("book"), file.alias("file"), file.alias("duplicate_of"), F.lit("exact").alias("reason"))
+    assert reports.duplicates(dups).count(": 1") == n == reports.duplicates(dups).count(" -> ")
