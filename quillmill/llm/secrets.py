@@ -117,6 +117,15 @@ def _filled(df: DataFrame) -> DataFrame:
     )
 
 
+def _findings(versions: DataFrame, ledger: DataFrame | None, text: str = "text") -> DataFrame:
+    """A row per blob with findings, scanned now or known from ``ledger``."""
+    found = scan_unseen(versions, ledger, text)
+    if ledger is not None:
+        known = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.col("spans") != "")).dropDuplicates(["blob"])
+        found = found.unionByName(known.select(found.columns))
+    return found
+
+
 def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text") -> DataFrame:
     """``versions`` without their text, with findings: every row (path, version, ...) of every
     blob, scanned now or known from ``ledger``.
@@ -124,10 +133,7 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, text: st
     Null and empty texts have no spans; repeated rows stay; an empty table gives an empty
     result.  Columns of ``versions`` named as a result column are replaced.
     """
-    found = scan_unseen(versions, ledger, text)
-    if ledger is not None:
-        known = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.col("spans") != "")).dropDuplicates(["blob"])
-        found = found.unionByName(known.select(found.columns))
+    found = _findings(versions, ledger, text)
     names = [x.split()[0] for x in _SCHEMA.split(", ")]
     rows = versions.select(*(c for c in versions.columns if c not in names and c != text), blob_of(text).alias("blob"))
     return _filled(rows.join(found, "blob", "left"))
@@ -150,7 +156,7 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """``docs`` with every found secret in ``text`` replaced; all rows stay, other columns too
     (``n_chars`` follows the text where there is one)."""
-    found = scan_unseen(docs, ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    found = _findings(docs, ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
     joined = docs.withColumn("__blob", blob_of()).join(found, "__blob", "left").select(*docs.columns, "__spans")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     out = joined.mapInArrow(_redact, schema)

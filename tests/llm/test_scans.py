@@ -49,6 +49,14 @@ def test_redaction(spark):
     assert out[1].text == "a [REDACTED] z" and out[1].n_chars == 14 and out[1].blob == "s" and out[2].text is None and out[3].text == "ok"
 
 
+def test_redaction_of_blobs_that_the_ledger_knows(spark):
+    old = spark.createDataFrame([(1, "a token = abcdef123 z"), (2, "clean")], "doc_id long, text string")
+    ledger = spark.createDataFrame(secrets.updated_ledger(old).collect())
+    more = old.unionByName(spark.createDataFrame([(3, "passwd: 'zzzzzzz'")], old.schema))
+    assert sorted(tuple(r) for r in secrets.redact(more, ledger).collect()) == sorted(tuple(r) for r in secrets.redact(more).collect())
+    assert {r.doc_id: r.text for r in secrets.redact(more, ledger).collect()}[1] == "a [REDACTED] z"
+
+
 # --- pages
 
 PAGE = (
