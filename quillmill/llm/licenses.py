@@ -1,6 +1,6 @@
 """License scans by sparse TF-IDF cosine, with inheritance along directories.
 
-Every line of a text that sounds like a licence, and every run of such lines, is compared with
+Every line of a text and every run of lines that can reach the least cosine is compared with
 templates of licence headers and texts: vectors over the templates' words, weighted by how
 rare a word is in the documents (counted over all of them) and in the templates.  A text whose
 words are mostly licence is a licence file of its directory.  A text without a licence of its
@@ -25,7 +25,7 @@ from quillmill.llm.common import materialise, table
 
 #: Least cosine, and least share of its words in licence lines that makes a text a licence file.
 LEAST_COSINE, FILE_SHARE = 0.6, 0.5
-#: Lines that a wrapped header can have; each line is compared together with so many before it.
+#: Lines that a wrapped header can have; each line is compared together with so many from it on.
 RUN_LINES = 60
 
 #: Headers and texts of common licences (fixed values).
@@ -54,7 +54,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("proprietary", "Copyright. All rights reserved. Unauthorized copying of this file is strictly prohibited. Proprietary and confidential."),
 )
 
-#: A line without any of these is no licence line; each template has at least one.
+#: A run of lines without any of these names no licence ("Version 2.0"); each template has one.
+#: Asked only of whole runs, so it drops no line of a wrapped header.
 _CUES = ("licen", "rights reserved", "permission", "redistribut", "public domain", "cc0", "cc by", "cc-by", "free software", "governed by")
 _WORD = re.compile(r"[a-z]+|\d+")
 
@@ -84,29 +85,78 @@ class Matcher:
     def __init__(self, idf: dict[str, float]):
         self.idf = idf
         self.templates = [(name, vector(text, idf)) for name, text in TEMPLATES]
+        self.rare = max(idf.values(), default=1.0) ** 2
+        self.postings = {w: [(i, t[w]) for i, (_, t) in enumerate(self.templates) if w in t] for w in VOCABULARY}
 
     def best(self, text: str) -> tuple[float, str]:
         v = vector(text, self.idf)
         return max((sum(x * t.get(w, 0.0) for w, x in v.items()), name) for name, t in self.templates)
 
+    def most_other(self, known: Counter[str]) -> float:
+        """Most weight of words outside the vocabulary that a run can have in a text with these
+        words of it and still reach LEAST_COSINE; negative if no run can.
+
+        With x the run's vector, its part in a template t's words at most |x_t|, and |x|² at least
+        |x_t|² + other: the cosine is at most the weight of the text's words in t, and at most
+        |x_t| / |x|.
+        """
+        most = -1.0
+        for _, t in self.templates:
+            have = [w for w in t if w in known]
+            if sum(t[w] ** 2 for w in have) >= LEAST_COSINE**2 - 1e-9:
+                size = sum(((1 + math.log(known[w])) * self.idf[w]) ** 2 for w in have)
+                most = max(most, size * (1 / LEAST_COSINE**2 - 1) + 1e-6)
+        return most
+
+    def runs(self, lines: list[Counter[str]], other: list[float], first: int, most: float) -> Iterator[tuple[int, float]]:
+        """(end, cosine) of the runs of two lines and more from ``first`` on."""
+        counts: Counter[str] = Counter()
+        dots = [0.0] * len(self.templates)
+        size = rest = 0.0
+        for at in range(first, min(first + RUN_LINES, len(lines))):
+            if other[at] > most:
+                return
+            for w, n in lines[at].items():
+                old = counts[w]
+                counts[w] = old + n
+                a, b = 1 + math.log(old) if old else 0.0, 1 + math.log(old + n)
+                if (idf := self.idf.get(w)) is None:
+                    rest += (b * b - a * a) * self.rare
+                else:
+                    size += (b * b - a * a) * idf * idf
+                    for i, x in self.postings[w]:
+                        dots[i] += (b - a) * idf * x
+            if rest > most:
+                return
+            if at > first and lines[at]:
+                yield at + 1, max(dots) / math.sqrt(size + rest) if size else 0.0
+
     def scan(self, text: str) -> tuple[str | None, float, float]:
-        """(licence, cosine, share of the words in licence lines) of a whole text."""
-        if not has_cue(text):
+        """(licence, cosine, share of the words in licence lines) of a whole text; the cosine is
+        0 where the text's words rule out that any run of lines reaches LEAST_COSINE."""
+        found = terms(text)
+        most = self.most_other(Counter(w for w in found if w in VOCABULARY))
+        if most < 0:
             return None, 0.0, 0.0
-        best, words, total, run = (0.0, ""), 0, 0, []
-        for line in text.split("\n"):
-            total += len(line.split())
-            cue = has_cue(line)
-            own = self.best(line) if cue or run else (0.0, "")
-            # A wrapped header: lines next to each other are also tried as one, while they still
-            # sound like a licence.
-            run = [*run, line][-RUN_LINES:] if cue or run and own[0] >= LEAST_COSINE / 3 else []
-            best = max(best, own, self.best(" ".join(run)) if len(run) > 1 else own)
+        rows = text.split("\n")
+        lines = [Counter(terms(r)) for r in rows]
+        other = [self.rare * len(c.keys() - VOCABULARY) for c in lines]
+        best, words = (0.0, ""), 0
+        for i, row in enumerate(rows):
+            # A run that starts without a word of the vocabulary is no nearer than without that line.
+            cue = has_cue(row)
+            if other[i] > most or not cue and not lines[i].keys() & VOCABULARY:
+                continue
+            own = self.best(row) if cue else (0.0, "")
+            best = max(best, own)
             if own[0] >= LEAST_COSINE:
-                words += len(line.split())
+                words += len(row.split())
+            for end, cosine in self.runs(lines, other, i, most):
+                if cosine >= max(LEAST_COSINE, best[0]) - 1e-9 and has_cue(" ".join(rows[i:end])):
+                    best = max(best, self.best(" ".join(rows[i:end])))
         if best[0] < LEAST_COSINE:
             return None, best[0], 0.0
-        return best[1], best[0], words / max(total, 1)
+        return best[1], best[0], words / max(len(text.split()), 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

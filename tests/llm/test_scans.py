@@ -121,6 +121,33 @@ def test_templates_match_themselves(name, text):
     assert m.scan("Nothing of this kind; a driving licence is a document.")[0] is None
 
 
+@pytest.mark.parametrize(
+    ("name", "text"),
+    [
+        ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"),
+        ("Unlicense", "This is free and unencumbered software released into the\npublic domain."),
+        ("Unlicense", "This is free and unencumbered software released into the public\ndomain."),
+    ],
+)
+def test_wrapped_headers_keep_their_first_lines(name, text):
+    m = licenses.Matcher({t: 1.0 for t in licenses.VOCABULARY})
+    assert m.scan(f"int main;\n{text}\nsome other words follow here")[0] == name
+
+
+def test_bounds_lose_no_run():
+    rng = random.Random(3)
+    vocabulary = sorted(licenses.VOCABULARY)
+    m = licenses.Matcher({t: rng.uniform(0.5, 9) for t in vocabulary})
+    for _ in range(150):
+        words = [w if rng.random() < 0.8 else f"other{rng.randrange(9)}x" for w in licenses.terms(rng.choice(licenses.TEMPLATES)[1])]
+        words = [*rng.choices(vocabulary, k=rng.randrange(9)), *words, *rng.choices(["foo", "bar", "the"], k=9)]
+        lines = "".join(w + rng.choice(["\n", " ", " ", " "]) for w in words).split("\n")
+        runs = [" ".join(lines[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)]
+        brute = max((m.best(r) for r in runs if licenses.has_cue(r)), default=(0.0, ""))
+        got = m.scan("\n".join(lines))
+        assert (got[0], round(got[1], 9)) == (brute[1], round(brute[0], 9)) if brute[0] >= licenses.LEAST_COSINE else got[0] is None
+
+
 # --- classifiers
 
 
