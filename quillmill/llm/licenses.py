@@ -1,10 +1,16 @@
 """License scans by sparse TF-IDF cosine, with inheritance along directories.
 
-Every line of a text and every run of lines that can reach the least cosine is compared with
-templates of licence headers and texts: vectors over the templates' words, weighted by how
-rare a word is in the documents (counted over all of them) and in the templates.  A text whose
-words are mostly licence is a licence file of its directory.  A text without a licence of its
-own takes that of the nearest directory above it that has a licence file.
+A text is compared with templates (licence headers, notices and whole licence texts) in windows
+of as many words as the template has, at every word, so that neither line breaks nor comment
+marks matter.  Vectors count words, weighted by how rare a word is in the documents (counted
+over all of them) and in the templates; a word that no template has weighs as a rare one.  A
+sliding sum bounds the cosine of all windows at once, and only windows whose bound reaches the
+template's least cosine are compared, each from its neighbour by the two words that differ.  The
+time is linear in the text.  Of windows that overlap the one with most evidence stays; the
+licence with most evidence is the text's own.
+
+A text whose words are mostly licence is a licence file of its directory.  A text without a
+licence of its own takes that of the nearest directory above it that has a licence file.
 
 Sizes: texts are read twice and never shuffled.  Inheritance is a join of directories (each
 with its few ancestors) with licence files, by path; documents join their directory's result.
@@ -13,171 +19,157 @@ with its few ancestors) with licence files, by path; documents join their direct
 from __future__ import annotations
 
 import math
+import pathlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import materialise, table
+from quillmill.llm.licence_texts import TEMPLATES
 
-#: Least cosine, and least share of its words in licence lines that makes a text a licence file.
-LEAST_COSINE, FILE_SHARE = 0.6, 0.5
-#: Lines that a wrapped header can have; each line is compared together with so many from it on.
-RUN_LINES = 60
-
-#: Headers and texts of common licences (fixed values).
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT license. See LICENSE in the project root for license information."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
-    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License"),
-    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0. This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0. This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC0-1.0", "Licensed under CC0 1.0. To the extent possible under law, the author has waived all copyright and related rights to this work."),
-    ("proprietary", "All rights reserved."),
-    ("proprietary", "Copyright. All rights reserved. Unauthorized copying of this file is strictly prohibited. Proprietary and confidential."),
-)
-
-#: A run of lines without any of these names no licence ("Version 2.0"); each template has one.
-#: Asked only of whole runs, so it drops no line of a wrapped header.
-_CUES = ("licen", "rights reserved", "permission", "redistribut", "public domain", "cc0", "cc by", "cc-by", "free software", "governed by")
+#: Least share of its words in licence windows that makes a text a licence file.
+FILE_SHARE = 0.5
 _WORD = re.compile(r"[a-z]+|\d+")
 
 
-def has_cue(text: str) -> bool:
-    low = text.lower()
-    return any(c in low for c in _CUES)
+def least_cosine(n_words: int) -> float:
+    """The cosine that a window must reach: short notices must be met nearly word for word."""
+    return 0.9 if n_words < 8 else 0.75
 
 
 def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-VOCABULARY = frozenset(t for _, text in TEMPLATES for t in terms(text))
+def read_templates(folder: str) -> list[tuple[str, str]]:
+    """(name, text) of the whole licence texts in a local folder of the driver, by file name.
+    They go to every task, so the folder should hold licences only."""
+    return [(p.name, p.read_text(encoding="utf-8", errors="replace")) for p in sorted(pathlib.Path(folder).iterdir()) if p.is_file()]
 
 
-def vector(text: str, idf: dict[str, float]) -> dict[str, float]:
-    """Unit vector over the vocabulary; words outside it add to the length as rare ones."""
-    counts = Counter(terms(text))
-    rare = max(idf.values(), default=1.0)
-    v = {t: (1 + math.log(n)) * idf.get(t, rare) for t, n in counts.items()}
-    size = math.sqrt(sum(x * x for x in v.values()))
-    return {t: x / size for t, x in v.items()} if size else {}
+def vocabulary(templates: Sequence[tuple[str, str]]) -> dict[str, int]:
+    """word -> number, of all words in the templates."""
+    return {w: i for i, w in enumerate(sorted({t for _, text in templates for t in terms(text)}))}
 
 
 class Matcher:
-    def __init__(self, idf: dict[str, float]):
-        self.idf = idf
-        self.templates = [(name, vector(text, idf)) for name, text in TEMPLATES]
+    """Compares texts with ``templates``; ``idf`` weighs the words of their vocabulary."""
+
+    def __init__(self, idf: dict[str, float], templates: Sequence[tuple[str, str]] = TEMPLATES):
+        self.number = vocabulary(templates)
         self.rare = max(idf.values(), default=1.0) ** 2
-        self.postings = {w: [(i, t[w]) for i, (_, t) in enumerate(self.templates) if w in t] for w in VOCABULARY}
-
-    def best(self, text: str) -> tuple[float, str]:
-        v = vector(text, self.idf)
-        return max((sum(x * t.get(w, 0.0) for w, x in v.items()), name) for name, t in self.templates)
-
-    def most_other(self, known: Counter[str]) -> float:
-        """Most weight of words outside the vocabulary that a run can have in a text with these
-        words of it and still reach LEAST_COSINE; negative if no run can.
-
-        With x the run's vector, its part in a template t's words at most |x_t|, and |x|² at least
-        |x_t|² + other: the cosine is at most the weight of the text's words in t, and at most
-        |x_t| / |x|.
-        """
-        most = -1.0
-        for _, t in self.templates:
-            have = [w for w in t if w in known]
-            if sum(t[w] ** 2 for w in have) >= LEAST_COSINE**2 - 1e-9:
-                size = sum(((1 + math.log(known[w])) * self.idf[w]) ** 2 for w in have)
-                most = max(most, size * (1 / LEAST_COSINE**2 - 1) + 1e-6)
-        return most
-
-    def runs(self, lines: list[Counter[str]], other: list[float], first: int, most: float) -> Iterator[tuple[int, float]]:
-        """(end, cosine) of the runs of two lines and more from ``first`` on."""
-        counts: Counter[str] = Counter()
-        dots = [0.0] * len(self.templates)
-        size = rest = 0.0
-        for at in range(first, min(first + RUN_LINES, len(lines))):
-            if other[at] > most:
-                return
-            for w, n in lines[at].items():
-                old = counts[w]
-                counts[w] = old + n
-                a, b = 1 + math.log(old) if old else 0.0, 1 + math.log(old + n)
-                if (idf := self.idf.get(w)) is None:
-                    rest += (b * b - a * a) * self.rare
-                else:
-                    size += (b * b - a * a) * idf * idf
-                    for i, x in self.postings[w]:
-                        dots[i] += (b - a) * idf * x
-            if rest > most:
-                return
-            if at > first and lines[at]:
-                yield at + 1, max(dots) / math.sqrt(size + rest) if size else 0.0
+        # The last place is for all words that no template has.
+        self.square = np.array([*(idf[w] ** 2 for w in self.number), self.rare])
+        self.names, self.sizes, rows = [], [], []
+        for name, text in templates:
+            at = [self.number[w] for w in terms(text)]
+            if not at:
+                continue
+            count = np.bincount(at, minlength=len(self.square)).astype("f8")
+            self.names.append(name)
+            self.sizes.append(len(at))
+            rows.append(count / math.sqrt((count**2 * self.square).sum()))
+        #: Per template and word: what a word of the text adds to the product, and its greatest share of a cosine.
+        self.adds = np.array(rows).reshape(len(rows), -1) * self.square
+        self.most = self.adds**2 / self.square
+        self.least = np.array([least_cosine(n) for n in self.sizes])
+
+    def windows(self, at: np.ndarray, template: int) -> list[tuple[float, int, int]]:
+        """(cosine, start, end) of the windows that reach the template's least cosine, none
+        overlapping, the best first."""
+        n = min(self.sizes[template], len(at))
+        least = self.least[template]
+        dots = np.concatenate([[0.0], np.cumsum(self.adds[template][at])])
+        sizes = np.concatenate([[0.0], np.cumsum(self.square[at])])
+        dot, size = dots[n:] - dots[:-n], sizes[n:] - sizes[:-n]
+        # Counts are whole numbers, so a window's squared length is at least the sum of its squares.
+        open_ = np.flatnonzero(dot >= (least - 1e-9) * np.sqrt(size))
+        found = []
+        known, length, last = Counter(), 0.0, None
+        other = len(self.square) - 1
+        words = at.tolist()
+        for start in open_.tolist():
+            if last is not None and start - last < n:
+                for p in range(last, start):
+                    known, length = self._moved(known, length, words[p], -1, other)
+                    known, length = self._moved(known, length, words[p + n], 1, other)
+            else:
+                known, length = Counter(), 0.0
+                for p in range(start, start + n):
+                    known, length = self._moved(known, length, words[p], 1, other)
+            last = start
+            cosine = float(dot[start]) / math.sqrt(length) if length > 1e-12 else 0.0
+            if cosine >= least:
+                found.append((cosine, start))
+        taken = np.zeros(len(at), bool)
+        out = []
+        for cosine, start in sorted(found, key=lambda f: (-round(f[0], 9), f[1])):
+            if not taken[start] and not taken[start + n - 1]:
+                taken[start : start + n] = True
+                out.append((cosine, start, start + n))
+        return out
+
+    def _moved(self, known: Counter, length: float, word: int, by: int, other: int) -> tuple[Counter, float]:
+        if word == other:
+            return known, length + by * self.rare
+        n = known[word]
+        known[word] = n + by
+        return known, length + (2 * n * by + 1) * self.square[word]
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
-        """(licence, cosine, share of the words in licence lines) of a whole text; the cosine is
-        0 where the text's words rule out that any run of lines reaches LEAST_COSINE."""
-        found = terms(text)
-        most = self.most_other(Counter(w for w in found if w in VOCABULARY))
-        if most < 0:
+        """(licence, its best cosine, share of the words in licence windows) of a whole text;
+        nothing reaches its least cosine: (None, 0, 0)."""
+        other = len(self.square) - 1
+        found = [self.number.get(w, other) for w in terms(text)]
+        if not found:
             return None, 0.0, 0.0
-        rows = text.split("\n")
-        lines = [Counter(terms(r)) for r in rows]
-        other = [self.rare * len(c.keys() - VOCABULARY) for c in lines]
-        best, words = (0.0, ""), 0
-        for i, row in enumerate(rows):
-            # A run that starts without a word of the vocabulary is no nearer than without that line.
-            cue = has_cue(row)
-            if other[i] > most or not cue and not lines[i].keys() & VOCABULARY:
-                continue
-            own = self.best(row) if cue else (0.0, "")
-            best = max(best, own)
-            if own[0] >= LEAST_COSINE:
-                words += len(row.split())
-            for end, cosine in self.runs(lines, other, i, most):
-                if cosine >= max(LEAST_COSINE, best[0]) - 1e-9 and has_cue(" ".join(rows[i:end])):
-                    best = max(best, self.best(" ".join(rows[i:end])))
-        if best[0] < LEAST_COSINE:
-            return None, best[0], 0.0
-        return best[1], best[0], words / max(len(text.split()), 1)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[str] = Counter()
-    n = 0
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            n += 1
-            seen.update(VOCABULARY.intersection(terms(text or "")))
-    seen[""] = n
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
-
-
-def idf_of(docs: DataFrame, text: str = "text") -> dict[str, float]:
+        at = np.array(found)
+        here = np.zeros(len(self.square))
+        here[at] = 1.0
+        here[other] = 0.0
+        # A cosine is at most the length of the template's part in words that the text has.
+        windows = []
+        for t in np.flatnonzero(self.most @ here >= (self.least - 1e-9) ** 2).tolist():
+            windows += [(cosine**2 * math.log1p(end - start), cosine, self.names[t], start, end) for cosine, start, end in self.windows(at, t)]
+        taken = np.zeros(len(at), bool)
+        evidence: Counter[str] = Counter()
+        best: dict[str, float] = {}
+        for _, cosine, name, start, end in sorted(windows, key=lambda w: (-round(w[0], 9), w[2], w[3])):
+            if not taken[start] and not taken[end - 1]:
+                taken[start:end] = True
+                evidence[name] += cosine * (end - start)
+                best[name] = max(best.get(name, 0.0), cosine)
+        if not evidence:
+            return None, 0.0, 0.0
+        name = min(evidence, key=lambda x: (-round(evidence[x], 9), x))
+        return name, best[name], float(taken.mean())
+
+
+def idf_of(docs: DataFrame, text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> dict[str, float]:
     """Inverse document frequency of the vocabulary over all documents and templates."""
-    counted = docs.select(F.col(text).cast("string")).mapInArrow(_count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    words = frozenset(vocabulary(templates))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        n = 0
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                n += 1
+                seen.update(words.intersection(terms(text or "")))
+        seen[""] = n
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
+
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df = Counter({r.term: r.n for r in counted})
-    n = df.pop("", 0) + len(TEMPLATES)
-    for _, t in TEMPLATES:
+    n = df.pop("", 0) + len(templates)
+    for _, t in templates:
         df.update(set(terms(t)))
-    return {t: math.log(1 + n / df[t]) for t in sorted(VOCABULARY)}
+    return {t: math.log(1 + n / df[t]) for t in sorted(words)}
 
 
 def directory(path: Column) -> Column:
@@ -185,22 +177,22 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"[^/]*\z", ""), r"/+\z", "")
 
 
-def scan_licenses(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """``files`` without their text, with license, cosine, is_license_file, inherited_from.
 
     ``license`` is the text's own, else that of the nearest folder above (its own first) with
     a licence file; ``inherited_from`` names that folder.  Of several licence files in a folder
     a file named as one goes first, then greatest cosine, then least name.  Null paths have the folder '';
-    null and empty texts have no licence of their own; repeated rows stay.
+    null and empty texts have no licence of their own; repeated rows stay.  ``templates`` go to
+    every task (``read_templates`` reads whole licence texts from a folder).
     """
     new = ("own_license", "cosine", "share")
-    idf = idf_of(files, text)
-    sent = files.sparkSession.sparkContext.broadcast(idf)
+    sent = files.sparkSession.sparkContext.broadcast((idf_of(files, text, templates), templates))
     keep = [c for c in files.columns if c not in (*new, "license", "is_license_file", "inherited_from", "__dir")]
     rows = files.select(*keep).withColumn("__dir", directory(F.coalesce(F.col(path).cast("string"), F.lit(""))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(sent.value)
+        matcher = Matcher(*sent.value)
         for b in batches:
             at = b.schema.get_field_index(text)
             got = [matcher.scan(t or "") for t in b.column(at).to_pylist()]

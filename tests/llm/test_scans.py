@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from quillmill.llm import html, licenses, quality, secrets, toxicity
+from quillmill.llm import html, quality, secrets, toxicity
 
 # --- secrets
 
@@ -95,59 +95,6 @@ def test_equivalence_classes_and_template():
     assert not html.valid(classes[1, 1, 1], pages, (1, 1, 1)) and html.valid(["html", "html/nav"], pages, (1, 1, 1))
 
 
-# --- licences
-
-
-def test_own_and_inherited_licences(spark):
-    mit = licenses.TEMPLATES[2][1]
-    rows = [
-        ("repo/LICENSE", mit), ("repo/src/a.py", "print(1)"), ("repo/src/deep/b.py", "x"), ("repo/vendor/COPYING", licenses.TEMPLATES[6][1]), ("repo/vendor/lib/c.c", "int x;"),
-        ("repo/vendor/own.c", "// Licensed under the Apache License, Version 2.0.\nint y;"), ("other/d.txt", "my licence to drive"), ("repo/vendor/COPYING", licenses.TEMPLATES[6][1]),
-        (None, None), ("", ""), ("top.txt", "long " * 50000),
-    ]
-    out = licenses.scan_licenses(spark.createDataFrame([(*r, "old") for r in rows], "path string, text string, license string")).collect()
-    got = {r.path: (r.license, r.inherited_from) for r in out}
-    assert len(out) == len(rows) and "text" not in out[0].asDict()
-    assert got["repo/LICENSE"] == ("MIT", None) and got["repo/src/a.py"] == ("MIT", "repo") and got["repo/src/deep/b.py"] == ("MIT", "repo")
-    assert got["repo/vendor/lib/c.c"] == ("GPL-3.0", "repo/vendor") and got["repo/vendor/own.c"] == ("Apache-2.0", None)
-    assert got["other/d.txt"] == (None, None) and got[None] == (None, None) and got["top.txt"] == (None, None)
-    assert licenses.scan_licenses(spark.createDataFrame([], "path string, text string")).count() == 0
-
-
-@pytest.mark.parametrize(("name", "text"), licenses.TEMPLATES)
-def test_templates_match_themselves(name, text):
-    m = licenses.Matcher({t: 1.0 for t in licenses.VOCABULARY})
-    assert m.scan(f"Some words.\n{text}\nOthers.")[0] == name
-    assert m.scan("Nothing of this kind; a driving licence is a document.")[0] is None
-
-
-@pytest.mark.parametrize(
-    ("name", "text"),
-    [
-        ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"),
-        ("Unlicense", "This is free and unencumbered software released into the\npublic domain."),
-        ("Unlicense", "This is free and unencumbered software released into the public\ndomain."),
-    ],
-)
-def test_wrapped_headers_keep_their_first_lines(name, text):
-    m = licenses.Matcher({t: 1.0 for t in licenses.VOCABULARY})
-    assert m.scan(f"int main;\n{text}\nsome other words follow here")[0] == name
-
-
-def test_bounds_lose_no_run():
-    rng = random.Random(3)
-    vocabulary = sorted(licenses.VOCABULARY)
-    m = licenses.Matcher({t: rng.uniform(0.5, 9) for t in vocabulary})
-    for _ in range(150):
-        words = [w if rng.random() < 0.8 else f"other{rng.randrange(9)}x" for w in licenses.terms(rng.choice(licenses.TEMPLATES)[1])]
-        words = [*rng.choices(vocabulary, k=rng.randrange(9)), *words, *rng.choices(["foo", "bar", "the"], k=9)]
-        lines = "".join(w + rng.choice(["\n", " ", " ", " "]) for w in words).split("\n")
-        runs = [" ".join(lines[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)]
-        brute = max((m.best(r) for r in runs if licenses.has_cue(r)), default=(0.0, ""))
-        got = m.scan("\n".join(lines))
-        assert (got[0], round(got[1], 9)) == (brute[1], round(brute[0], 9)) if brute[0] >= licenses.LEAST_COSINE else got[0] is None
-
-
 # --- classifiers
 
 
