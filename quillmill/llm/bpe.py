@@ -1,22 +1,28 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Every text is cut by a rolling hash into chunks, so that texts which share a long passage
-share its inner chunks wherever the passage stands.  Chunks are keyed by content and meet in
-one shuffle; each distinct chunk is encoded once.  Texts that are a single chunk get their
+share its inner chunks wherever the passage stands.  A cut moves on to the next border between
+words, marks, numbers or white space at which every encoding has a token border, so that texts
+without spaces are cut, too; a run without such a border stays in one chunk.  Chunks are keyed
+by content and meet in one shuffle; each distinct chunk is encoded once (a chunk with over
+SPLIT_USES uses in a map task, once for so many).  Texts that are a single chunk get their
 digests there.  The ids of the other chunks travel to their texts, where each joint between
 two chunks is repaired: the tokens around the joint are decoded, encoded again as one string
 and spliced in, and the window grows until the outer tokens of the new encoding agree exactly
-with what both sides had.
+with what both sides had.  The windows are as small as the distance to a few borders, so the
+time is linear in the text.
 
-Sizes: texts travel once (compressed per chunk), ids at most once (16 bits each, compressed);
-exact copies of a text travel as one.  All state in a Python worker is bounded by
-``FLUSH_BYTES`` and by one text.
+Sizes: texts travel once (compressed per chunk); copies of a text that a map task meets within
+FLUSH_BYTES travel as one, other copies by their chunks, which are encoded once all the same.
+Ids travel at most once per map task that has the text (16 bits each, compressed).  A Python
+worker holds at most FLUSH_BYTES of chunks and uses, MAX_SEEN uses, and one text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +38,8 @@ MIN_CHUNK, AVG_CHUNK, MAX_CHUNK = 1024, 4096, 16384
 WINDOW = 48
 #: Raw bytes of chunks that a map task holds before it hands them on.
 FLUSH_BYTES = 32 << 20
+#: Uses of one chunk in a row of the shuffle; and uses that an encoding task remembers so as not to send them twice.
+SPLIT_USES, MAX_SEEN = 4096, 200_000
 #: Compression of what is shuffled.
 LEVEL = 6
 #: Tokens on each side of a joint that are encoded again at first.
@@ -74,8 +82,64 @@ def _candidates(data: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, "i8")
 
 
-def chunks(data: bytes) -> list[bytes]:
-    """Content-defined chunks of UTF-8 bytes, cut between characters.  ``b""`` is one chunk."""
+class _Kinds(dict):
+    """character -> kind: letter, number, space or other mark; empty where the versions of
+    Unicode that libraries use may differ."""
+
+    def __missing__(self, c: str) -> str:
+        now, old = unicodedata.category(c), unicodedata.ucd_3_2_0.category(c)
+        if c in "\t\n\v\f\r" or now[0] == "Z" == old[0]:
+            kind = "S"
+        elif now != old or now[0] in "CZ" or "\x1c" <= c <= "\x1f":
+            kind = ""
+        else:
+            kind = now[0] if now[0] in "LN" else "O"
+        self[c] = kind
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+def is_border(a: str, b: str) -> bool:
+    """Whether every encoding has a token border between the neighbours ``a`` and ``b``.
+
+    The pre-tokeniser's runs hold characters of one kind, with a space before them or an
+    apostrophe before some letters; so nothing spans a change of kind but those two.
+    """
+    x, y = _KINDS[a], _KINDS[b]
+    return x != y and x != "" and y != "" and x != "S" and not (a == "'" and y == "L")
+
+
+def _next_border(data: bytes, at: int, specials: tuple[bytes, ...] = ()) -> int:
+    """The first border at or after the offset ``at`` that is not inside a special string, else
+    the end."""
+    n = len(data)
+    start = at
+    while start > 0 and at - start < 4:
+        start -= 1
+        if data[start] & 0xC0 != 0x80:
+            break
+    step = 256
+    while start < n:
+        end = min(n, start + step)
+        while end < n and data[end] & 0xC0 == 0x80:
+            end += 1
+        text = data[start:end].decode()
+        offset = start
+        for a, b in zip(text, text[1:], strict=False):
+            offset += len(a.encode())
+            if offset >= at and is_border(a, b) and not any(data.find(x, max(0, offset - len(x) + 1), offset + len(x) - 1) >= 0 for x in specials):
+                return offset
+        if end == n:
+            break
+        start, step = offset, 2 * step
+    return n
+
+
+def chunks(data: bytes, specials: tuple[bytes, ...] = ()) -> list[bytes]:
+    """Content-defined chunks of UTF-8 bytes, cut at borders and never inside one of
+    ``specials``.  ``b""`` is one chunk."""
     n = len(data)
     if n <= MIN_CHUNK:
         return [data]
@@ -86,8 +150,10 @@ def chunks(data: bytes) -> list[bytes]:
         while i < len(cuts) and cuts[i] < start + MIN_CHUNK:
             i += 1
         end = min(cuts[i] if i < len(cuts) else n, start + MAX_CHUNK, n)
-        while end < n and data[end] & 0xC0 == 0x80:
-            end += 1
+        if end < n:
+            while data[end] & 0xC0 == 0x80:
+                end -= 1
+            end = _next_border(data, end, specials)
         out.append(data[start:end])
         start = end
     if start < n:
@@ -138,36 +204,50 @@ class Codec:
         out = b"".join(map(self.bytes.__getitem__, ids))
         return out.decode("utf-8", "replace").encode()
 
-    def _syncs(self, ids: list[int]) -> list[tuple[int, int]]:
-        """(token index, byte offset) where a space follows a printable ASCII character: there
-        every encoding of any surrounding text has a token border."""
+    def _borders(self, ids: list[int]) -> list[int]:
+        """The token indexes inside ``ids`` at which every encoding of any surrounding text has
+        a token border."""
         data = b"".join(map(self.bytes.__getitem__, ids))
+        first = 0
+        while first < len(data) and data[first] & 0xC0 == 0x80:
+            first += 1
+        text = data[first:].decode("utf-8", "ignore")
+        found, offset = set(), first
+        for a, b in zip(text, text[1:], strict=False):
+            offset += len(a.encode())
+            if is_border(a, b):
+                found.add(offset)
         out, at = [], 0
         for k, i in enumerate(ids):
-            if 0 < at < len(data) and data[at] == 0x20 and 0x21 <= data[at - 1] <= 0x7E:
-                out.append((k, at))
+            if at in found:
+                out.append(k)
             at += self.lengths[i]
         return out
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of both sides' text, from their encodings; ``left`` is changed in place."""
-        k = FIRST_WINDOW
+        k, outer = FIRST_WINDOW, 1
         while True:
             head, tail = left[-k:], right[:k]
-            before, after = self._syncs(head), self._syncs(tail)
+            n = len(head)
+            found = self._borders(head + tail)
+            before, after = [x for x in found if x < n], [x - n for x in found if x > n]
             all_left, all_right = k >= len(left), k >= len(right)
-            if (len(before) >= 2 or all_left) and (len(after) >= 2 or all_right):
-                a, a2 = (before[-2][0], before[-1][0]) if len(before) >= 2 else (0, 0)
-                z, z2 = (after[1][0], after[0][0]) if len(after) >= 2 else (len(tail), len(tail))
-                text = b"".join(map(self.bytes.__getitem__, head[a:] + tail[:z])).decode("utf-8")
-                new = self.encode(text)
-                same = new[: a2 - a] == head[a:a2] and (z == z2 or new[len(new) - (z - z2) :] == tail[z2:z])
-                if same or (all_left and all_right):
-                    del left[len(left) - len(head) + a :]
-                    left += new
-                    left += right[z:]
-                    return left
-            k *= 2
+            if (len(before) <= outer and not all_left) or (len(after) <= outer and not all_right):
+                k *= 2
+                continue
+            # The window ends at borders; the tokens up to the nearest ones must come out again.
+            a, a2 = (before[-outer - 1], before[-1]) if len(before) > outer else (0, 0)
+            z, z2 = (after[outer], after[0]) if len(after) > outer else (len(tail), len(tail))
+            whole = len(before) <= outer and len(after) <= outer
+            new = self.encode(b"".join(map(self.bytes.__getitem__, head[a:] + tail[:z])).decode("utf-8"))
+            same = new[: a2 - a] == head[a:a2] and (z == z2 or new[len(new) - (z - z2) :] == tail[z2:z])
+            if same or whole:
+                del left[len(left) - n + a :]
+                left += new
+                left += right[z:]
+                return left
+            outer += 1
 
 
 _CODECS: dict[str, Codec] = {}
@@ -183,40 +263,61 @@ def _digests(c: Codec, ids: list[int]) -> tuple[int, bytes, bytes]:
     return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).digest(), hashlib.sha256(c.decode(ids)).digest()
 
 
-_CHUNK_SCHEMA = "h binary, data binary, uses binary"
+_CHUNK_SCHEMA = "h binary, part int, data binary, uses binary"
 _PIECE_SCHEMA = "text_key binary, pos int, n int, ids binary, n_tokens long, ids_sha256 binary, decoded_sha256 binary"
 _USE = "<16sII"
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    squeeze = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False)
-    held: dict[bytes, list] = {}
-    size = 0
-
-    def flush():
-        rows = list(held.items())
-        for at in range(0, len(rows), 500):
-            part = rows[at : at + 500]
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in part], pa.binary()), pa.array([v[0] for _, v in part], pa.binary()), pa.array([b"".join(v[1:]) for _, v in part], pa.binary())], names=["h", "data", "uses"])
-        held.clear()
-
-    for batch in batches:
-        for text in batch.column(0):
-            data = (text.as_py() or "").encode()
-            key = hashlib.md5(data, usedforsecurity=False).digest()
-            parts = chunks(data)
-            for pos, part in enumerate(parts):
-                h = hashlib.blake2b(part, digest_size=16).digest() if len(parts) > 1 else key
-                if h not in held:
-                    held[h] = [squeeze.compress(part)]
-                    size += len(part)
-                held[h].append(struct.pack(_USE, key, pos, len(parts)))
-            if size >= FLUSH_BYTES:
-                yield from flush()
-                size = 0
-    yield from flush()
+def _cut(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        specials = tuple(x.encode() for x in codec(path).special)
+        squeeze = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False)
+        held: dict[bytes, tuple[bytes, bytearray]] = {}
+        keys: set[bytes] = set()
+        size = 0
+        most = SPLIT_USES * struct.calcsize(_USE)
+
+        def flush():
+            rows = ((h, at // most, data, bytes(uses[at : at + most])) for h, (data, uses) in held.items() for at in range(0, len(uses), most))
+            part, n = [], 0
+            for row in rows:
+                part.append(row)
+                n += len(row[2]) + len(row[3])
+                if len(part) >= 500 or n >= 4 << 20:
+                    yield batch_of(part)
+                    part, n = [], 0
+            if part:
+                yield batch_of(part)
+            held.clear()
+            keys.clear()
+
+        def batch_of(part):
+            columns = zip(*part, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["h", "part", "data", "uses"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                data = (text.as_py() or "").encode()
+                key = hashlib.md5(data, usedforsecurity=False).digest()
+                if key in keys:
+                    continue
+                keys.add(key)
+                parts = chunks(data, specials)
+                for pos, part in enumerate(parts):
+                    h = hashlib.blake2b(part, digest_size=16).digest() if len(parts) > 1 else key
+                    if h not in held:
+                        held[h] = (squeeze.compress(part), bytearray())
+                        size += len(part)
+                    held[h][1].extend(struct.pack(_USE, key, pos, len(parts)))
+                    size += struct.calcsize(_USE)
+                if size >= FLUSH_BYTES:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return run
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -234,13 +335,15 @@ def _encode(path: str):
         last, ids, packed, digests, seen = None, [], b"", None, set()
         rows: list[tuple] = []
         for batch in batches:
-            for h, data, uses in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for h, _, data, uses in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if h != last:
                     last, packed, digests, seen = h, b"", None, set()
                     ids = c.encode(expand.decompress(data).decode())
                 for use in struct.iter_unpack(_USE, uses):
                     if use in seen:
                         continue
+                    if len(seen) >= MAX_SEEN:
+                        seen.clear()
                     seen.add(use)
                     if use[2] == 1:
                         digests = digests or _digests(c, ids)
@@ -298,8 +401,8 @@ def encode_texts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     texts = df.select(text_or_empty(F.col(text)).alias("text"))
     pieces = (
-        texts.mapInArrow(_cut, _CHUNK_SCHEMA)
-        .repartition("h").sortWithinPartitions("h")
+        texts.mapInArrow(_cut(path), _CHUNK_SCHEMA)
+        .repartition("h", "part").sortWithinPartitions("h")
         .mapInArrow(_encode(path), _PIECE_SCHEMA)
     )
     done = pieces.repartition("text_key").sortWithinPartitions("text_key", "pos").mapInArrow(_assemble(path), _PIECE_SCHEMA)
