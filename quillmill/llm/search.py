@@ -5,12 +5,18 @@ postings: sorted terms, postings and lengths, compressed, one row each.  Documen
 average length and the queries' document frequencies are summed over all shards, so every
 shard scores with the global statistics.
 
-In a shard, documents stand in blocks of BLOCK_DOCS.  The impacts of terms that many of its
-documents have are also kept as a matrix, whose product with many queries' weights at once
-bounds their part of every score (in single precision, rounded up); the other terms' postings
-add to the bound.  A block is visited only if its largest bound reaches the k-th best score
-that this task has found, in this shard or an earlier one, and in it only such documents are
-scored in full, term by term.  So the merged lists are the exact top k; ties go to the lesser id.
+In a shard, documents stand in blocks of BLOCK_DOCS, and every term has the maximum of its
+impacts in each block in which it occurs.  A block's sum of the query's terms' maxima bounds the
+scores in it.  Documents are taken in order, many queries at a time: a query's pivot is the next
+block whose bound reaches the k-th best score that it has found (a bound by the terms' maxima
+over the whole list is never less, so it needs no look of its own).  Blocks before the pivot are
+passed over without touching their postings.  In the pivot's block the documents that reach the
+k-th best, by a product in single precision rounded up, are scored term by term.  The merged
+lists are the exact top k; ties go to the lesser id.
+
+One shard in SEED_SHARE is searched first; the k-th best score of each query in these is the
+threshold with which all other shards start, and below which they return nothing.  So the rows
+that travel are few beyond k a query.
 
 Queries are taken in blocks of at most BLOCK_TERMS terms, which go to every task.
 """
@@ -33,9 +39,13 @@ from quillmill.llm.decontaminate import WordHashes, tokens
 K1, B = 1.2, 0.75
 TOP_K = 10
 SHARD_DOCS, SHARD_POSTINGS = 4096, 4_000_000
-BLOCK_DOCS = 64
+BLOCK_DOCS = 32
 #: A term is frequent in a shard if one document of so many has it; queries in one product.
-FREQUENT, BATCH = 8, 256
+FREQUENT, BATCH = 8, 512
+#: More than the relative error of a sum of 10,000 terms in single precision.
+ROUND_UP = 1 + 1e-3
+#: One shard of so many is searched first, for thresholds.
+SEED_SHARE = 8
 #: Terms of the queries that are searched in one pass.
 BLOCK_TERMS = 2_000_000
 
@@ -104,86 +114,113 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """A shard ready for scoring with the global average length."""
+    """A shard ready for scoring with the global average length.
+
+    ``passed`` and ``met`` count (query, block) pairs, ``skipped`` and ``touched`` the postings
+    of rarer terms in them.
+    """
 
     def __init__(self, row: dict, average: float):
         self.ids = _unpack(row["ids"], "<i8")
         lengths = _unpack(row["lengths"], "<u4").astype("f8")
-        self.terms, self.starts = _unpack(row["terms"], "<u8"), _unpack(row["starts"], "<u4").astype("i8")
+        self.terms, starts = _unpack(row["terms"], "<u8"), _unpack(row["starts"], "<u4").astype("i8")
         self.docs = _unpack(row["docs"], "<u2").astype("i8")
         tf = _unpack(row["tfs"], "<u4").astype("f8")
         norm = K1 * (1 - B + B * lengths / average)
         self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
-        self.first = np.arange(0, len(self.ids), BLOCK_DOCS)
-        # Frequent terms: row of the matrix for each term, else -1.
-        frequent = np.flatnonzero(np.diff(self.starts) * FREQUENT >= len(self.ids))
+        self.n_blocks = -(-len(self.ids) // BLOCK_DOCS)
+        self.passed = self.met = self.skipped = self.touched = 0
+        term = np.repeat(np.arange(len(self.terms)), np.diff(starts))
+        self.key = term << 16 | self.docs
+        # An entry is a term in a block: its postings and the maximum of their impacts.
+        place = term * self.n_blocks + self.docs // BLOCK_DOCS
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, "i8")
+        self.entry = np.append(first, len(place))
+        self.entry_block = self.docs[first] // BLOCK_DOCS
+        self.entry_max = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
+        self.entries = np.searchsorted(term[first], np.arange(len(self.terms) + 1))
+        # Frequent terms: row of the matrices for each term, else -1.
+        frequent = np.flatnonzero(np.diff(starts) * FREQUENT >= len(self.ids))
         self.row = np.full(len(self.terms), -1)
         self.row[frequent] = np.arange(len(frequent))
-        self.matrix = np.zeros((len(frequent), len(self.ids)))
-        posts, of = _ranges(self.starts[frequent], self.starts[frequent + 1])
+        self.matrix = np.zeros((len(frequent), self.n_blocks * BLOCK_DOCS), "f4")
+        posts, of = _ranges(starts[frequent], starts[frequent + 1])
         self.matrix[of, self.docs[posts]] = self.impact[posts]
-        self.single = self.matrix.astype("f4")
+        self.maxima = self.matrix.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).max(axis=2, initial=0)
 
-    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], heaps: list[list[tuple[float, int]]], k: int) -> None:
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], heaps: list[list[tuple[float, int]]], k: int, floors: np.ndarray | None = None) -> None:
         """Put the shard's best for each (id, terms, weights) into its heap of (score, -id), at
-        most k long."""
+        most k long; scores below the query's floor may be left out."""
         if not len(self.terms):
             return
         for start in range(0, len(queries), BATCH):
             batch = queries[start : start + BATCH]
-            known = []
-            weights = np.zeros((len(batch), len(self.matrix)), "f4")
-            for i, (_, names, weight) in enumerate(batch):
-                at = np.searchsorted(self.terms, names)
-                at[at == len(self.terms)] = 0
-                hit = self.terms[at] == names
-                at, weight = at[hit], weight[hit]
-                row = self.row[at]
-                weights[i, row[row >= 0]] = weight[row >= 0]
-                known.append((at, weight, row))
-            bounds = weights @ self.single
-            for i, (at, weight, row) in enumerate(known):
-                if len(at):
-                    self._visit(bounds[i], at, weight, row, heaps[start + i], k)
-
-    def _visit(self, bound: np.ndarray, at: np.ndarray, weight: np.ndarray, row: np.ndarray, best: list[tuple[float, int]], k: int) -> None:
-        other = np.flatnonzero(row < 0)
-        posts, of = _ranges(self.starts[at[other]], self.starts[at[other] + 1])
-        local, adds = self.docs[posts], self.impact[posts] * weight[other][of]
-        bound = bound.astype("f8") * (1 + 1e-4) + np.bincount(local, adds, len(self.ids)) * (1 + 1e-9)
-        if len(best) < k:
-            # The k best bounds are scored first, so that there is a score to compare with.
-            some = np.argpartition(-bound, k)[:k] if len(bound) > k else np.arange(len(bound))
-            self._score(np.sort(some[bound[some] > 0]), at, weight, row, other, local, adds, of, best, k)
-            done = set(some.tolist())
-        else:
-            done = set()
-        # Blocks whose largest bound can't reach the k-th best score are passed over.
-        least = best[0][0] if len(best) == k else 0.0
-        blocks = np.flatnonzero(np.maximum.reduceat(bound, self.first) >= least)
-        inside, _ = _ranges(self.first[blocks], np.minimum(self.first[blocks] + BLOCK_DOCS, len(self.ids)))
-        found = inside[(bound[inside] >= least) & (bound[inside] > 0)]
-        found = np.array([d for d in found.tolist() if d not in done], "i8")
-        if len(found):
-            self._score(found, at, weight, row, other, local, adds, of, best, k)
-
-    def _score(self, docs, at, weight, row, other, local, adds, of, best, k) -> None:
-        """Full scores of ``docs`` (sorted), summed in the order of the query's terms, so that
-        equal texts get equal scores in any shard."""
-        parts = np.zeros((len(at), len(docs)))
-        dense = np.flatnonzero(row >= 0)
-        parts[dense] = self.matrix[np.ix_(row[dense], docs)] * weight[dense][:, None]
-        column = np.full(len(self.ids), -1)
-        column[docs] = np.arange(len(docs))
-        place = column[local]
-        hit = np.flatnonzero(place >= 0)
-        parts[other[of[hit]], place[hit]] = adds[hit]
+            self._batch(batch, heaps[start : start + BATCH], k, np.zeros(len(batch)) if floors is None else floors[start : start + BATCH])
+
+    def _batch(self, batch, heaps, k: int, floors: np.ndarray) -> None:
+        n_blocks = self.n_blocks
+        known, some, entries, pair_weight = [], [], [], []
+        weights = np.zeros((len(batch), len(self.matrix)), "f4")
+        for i, (_, names, weight) in enumerate(batch):
+            at = np.searchsorted(self.terms, names)
+            at[at == len(self.terms)] = 0
+            hit = self.terms[at] == names
+            at, weight = at[hit], weight[hit]
+            row = self.row[at]
+            weights[i, row[row >= 0]] = weight[row >= 0]
+            rare = np.flatnonzero(row < 0)
+            found, of = _ranges(self.entries[at[rare]], self.entries[at[rare] + 1])
+            some.append(np.full(len(found), i))
+            entries.append(found)
+            pair_weight.append(weight[rare][of])
+            known.append((at, weight))
+        query, entry, pair_weight = np.concatenate(some), np.concatenate(entries), np.concatenate(pair_weight)
+        bounds = (weights @ self.maxima) * ROUND_UP
+        bounds = bounds + np.bincount(query * n_blocks + self.entry_block[entry], pair_weight * self.entry_max[entry] * (1 + 1e-9), len(batch) * n_blocks).reshape(len(batch), n_blocks)
+        order = np.argsort(self.entry_block[entry], kind="stable")
+        query, entry, pair_weight = query[order], entry[order], pair_weight[order]
+        ends = np.searchsorted(self.entry_block[entry], np.arange(n_blocks + 1))
+        least = np.array([max(f, h[0][0] if len(h) == k else 0.0) for f, h in zip(floors, heaps, strict=True)])
+        line = np.empty(len(batch), "i8")
+        for block in range(n_blocks):
+            # The queries whose pivot is this block.
+            here = np.flatnonzero((bounds[:, block] >= least) & (bounds[:, block] > 0))
+            part = slice(ends[block], ends[block + 1])
+            self.passed += len(batch) - len(here)
+            self.met += len(here)
+            line.fill(-1)
+            line[here] = np.arange(len(here))
+            to = line[query[part]]
+            sizes = self.entry[entry[part] + 1] - self.entry[entry[part]]
+            self.touched += int(sizes[to >= 0].sum())
+            self.skipped += int(sizes[to < 0].sum())
+            if not len(here):
+                continue
+            scores = (weights[here] @ self.matrix[:, block * BLOCK_DOCS : (block + 1) * BLOCK_DOCS]) * ROUND_UP
+            of = entry[part][to >= 0]
+            posts, which = _ranges(self.entry[of], self.entry[of + 1])
+            adds = self.impact[posts] * pair_weight[part][to >= 0][which] * (1 + 1e-9)
+            scores = scores + np.bincount(to[to >= 0][which] * BLOCK_DOCS + self.docs[posts] - block * BLOCK_DOCS, adds, len(here) * BLOCK_DOCS).reshape(len(here), BLOCK_DOCS)
+            good = (scores >= least[here][:, None]) & (scores > 0)
+            for i in np.flatnonzero(good.any(axis=1)).tolist():
+                q = int(here[i])
+                self._score(np.flatnonzero(good[i]) + block * BLOCK_DOCS, *known[q], heaps[q], k, floors[q])
+                if len(heaps[q]) == k:
+                    least[q] = max(floors[q], heaps[q][0][0])
+
+    def _score(self, docs: np.ndarray, at: np.ndarray, weight: np.ndarray, best: list[tuple[float, int]], k: int, floor: float) -> None:
+        """Full scores of ``docs``, summed in the order of the query's terms, so that equal texts
+        get equal scores in any shard."""
+        keys = (at << 16)[:, None] | docs
+        place = np.searchsorted(self.key, keys)
+        place[place == len(self.key)] = 0
+        parts = np.where(self.key[place] == keys, self.impact[place], 0.0) * weight[:, None]
         # A running sum adds one by one, whatever the shape.
         total = np.cumsum(parts, axis=0)[-1]
         for d, score in zip(docs.tolist(), total.tolist(), strict=True):
-            entry = (score, -int(self.ids[d]))
-            if score <= 0:
+            if score <= 0 or score < floor:
                 continue
+            entry = (score, -int(self.ids[d]))
             if len(best) < k:
                 heapq.heappush(best, entry)
             elif entry > best[0]:
@@ -200,30 +237,29 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        got = [_terms(hashes, tokens(t)) for t in batch.column(1).to_pylist()]
+        got = [_terms(hashes, tokens(t)) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(n) for n, _ in got], pa.int64()), pa.array([n.astype("<u8").tobytes() for n, _ in got], pa.binary()), pa.array([c.astype("<u4").tobytes() for _, c in got], pa.binary())],
-            names=["query_id", "n_terms", "terms", "counts"],
+            [batch.column(0), batch.column(1), pa.array([len(n) for n, _ in got], pa.int64()), pa.array([n.astype("<u8").tobytes() for n, _ in got], pa.binary()), pa.array([c.astype("<u4").tobytes() for _, c in got], pa.binary())],
+            names=["line", "query_id", "n_terms", "terms", "counts"],
         )
 
 
-_RESULT = "query_id long, doc_id long, score double"
+_RESULT = "line long, query_id long, doc_id long, score double"
 
 
-def _search_block(index: DataFrame, queries: list, n_docs: int, average: float, k: int) -> DataFrame:
-    """Each task's best k of its shards for each of the (bounded) queries."""
-    spark = index.sparkSession
+def _weighted(index: DataFrame, queries: list, n_docs: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(line, terms, weights) of queries, weighted by document frequencies over all shards."""
     names = np.unique(np.concatenate([np.frombuffer(q.terms, "<u8") for q in queries])) if queries else np.zeros(0, "u8")
-    sent_names = spark.sparkContext.broadcast(names)
+    sent = index.sparkSession.sparkContext.broadcast(names)
 
     def frequencies(batches):
-        total = np.zeros(len(sent_names.value), "i8")
+        total = np.zeros(len(sent.value), "i8")
         for b in batches:
             for terms, starts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 terms, sizes = _unpack(terms, "<u8"), np.diff(_unpack(starts, "<u4").astype("i8"))
-                at = np.searchsorted(sent_names.value, terms)
+                at = np.searchsorted(sent.value, terms)
                 at[at == len(total)] = 0
-                hit = sent_names.value[at] == terms if len(total) else np.zeros(len(terms), bool)
+                hit = sent.value[at] == terms if len(total) else np.zeros(len(terms), bool)
                 total[at[hit]] += sizes[hit]
         some = np.flatnonzero(total)
         for at in range(0, len(some), 100_000):
@@ -234,47 +270,71 @@ def _search_block(index: DataFrame, queries: list, n_docs: int, average: float,
     counted = index.select("terms", "starts").mapInArrow(frequencies, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
     df[counted.column("i").to_numpy()] = counted.column("n").to_numpy()
     idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-    ready = []
-    for q in sorted(queries, key=lambda q: q.query_id):
+    out = []
+    for q in sorted(queries, key=lambda q: q.line):
         own = np.frombuffer(q.terms, "<u8")
-        ready.append((q.query_id, own, idf[np.searchsorted(names, own)] * np.frombuffer(q.counts, "<u4")))
-    sent = spark.sparkContext.broadcast(ready)
+        out.append((q.line, q.query_id, own, idf[np.searchsorted(names, own)] * np.frombuffer(q.counts, "<u4")))
+    return out
+
+
+def _search_shards(index: DataFrame, sent, average: float, k: int, floors: np.ndarray) -> DataFrame:
+    """Each task's best k of its shards for each of the broadcast queries, none below its floor."""
 
     def run(batches):
-        best: list[list] = [[] for _ in sent.value]
+        queries = [(line, names, weights) for line, _, names, weights in sent.value]
+        best: list[list] = [[] for _ in queries]
         for b in batches:
             for row in b.to_pylist():
-                Shard(row, average).search(sent.value, best, k)
-        rows = [(q[0], -i, s) for q, heap in zip(sent.value, best, strict=True) for s, i in heap]
+                Shard(row, average).search(queries, best, k, floors)
+        rows = [(q[0], q[1], -i, s) for q, heap in zip(sent.value, best, strict=True) for s, i in heap]
         for at in range(0, len(rows), 50_000):
             part = list(zip(*rows[at : at + 50_000], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["line", "query_id", "doc_id", "score"])
 
     return index.mapInArrow(run, _RESULT)
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("line").orderBy(F.desc("score"), "doc_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _search_block(index: DataFrame, queries: list, n_docs: int, average: float, k: int) -> DataFrame:
+    """The best k of each of the (bounded) queries, in two rounds."""
+    ready = _weighted(index, queries, n_docs)
+    sent = index.sparkSession.sparkContext.broadcast(ready)
+    seed = F.pmod(F.xxhash64("ids"), F.lit(SEED_SHARE)) == 0
+    first = materialise(_best(_search_shards(index.where(seed), sent, average, k, np.zeros(len(ready))), k).drop("rank"))
+    # At most one number per query of the block.
+    full = first.groupBy("line").agg(F.min("score").alias("s"), F.count("*").alias("n")).where(F.col("n") == k).select("line", "s").toArrow()
+    floors = np.zeros(len(ready))
+    lines = np.array([q[0] for q in ready], "i8")
+    floors[np.searchsorted(lines, full.column("line").to_numpy())] = full.column("s").to_numpy()
+    return first.unionByName(_search_shards(index.where(~seed), sent, average, k, floors))
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best of ``docs`` (doc_id, text) for each of
     ``queries`` (query_id, text).
 
     Terms are lower-case runs of letters, digits and underscores; a query term counts as often
     as it occurs.  Only documents with a term of the query are returned, so null and empty
-    queries have no rows.  A query id that occurs twice is searched as one query per row.
+    queries have no rows.  A query id that occurs in several rows is one query per row, each
+    with its ranks; repeated documents are listed as often as they occur.
     """
     index = materialise(build_index(docs))
     stats = index.agg(F.sum("n_docs").alias("n"), F.sum("total_length").alias("l")).first()
     n_docs, average = stats.n or 0, max((stats.l or 0) / max(stats.n or 0, 1), 1e-9)
-    rows = queries.where("query_id IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
-    asked = materialise(rows.mapInArrow(_queries, "query_id long, n_terms long, terms binary, counts binary").where("n_terms > 0").distinct())
+    rows = queries.where("query_id IS NOT NULL").select(F.monotonically_increasing_id().alias("line"), F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
+    asked = materialise(rows.mapInArrow(_queries, "line long, query_id long, n_terms long, terms binary, counts binary").where("n_terms > 0"))
     total = asked.agg(F.coalesce(F.sum("n_terms"), F.lit(0)).alias("n")).first().n
     blocks = max(1, math.ceil(total / BLOCK_TERMS * 1.25))
     found = None
     for block in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("line"), F.lit(blocks)) == block)
         got = _search_block(index, part.collect(), n_docs, average, k)
         found = got if found is None else found.unionByName(got)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    return _best(found, k).select("query_id", "rank", "doc_id", "score")
 
 
 def brute_force(docs: list[tuple[int, str]], queries: list[tuple[int, str]], k: int = TOP_K) -> list[tuple[int, int, int]]:

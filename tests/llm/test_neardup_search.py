@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -116,6 +117,53 @@ def test_search_equals_brute_force(spark, monkeypatch):
         assert sorted((r.query_id, r["rank"], r.doc_id) for r in got.collect()) == sorted(search.brute_force(docs, queries))
 
 
+def test_every_query_row_has_its_own_ranks(spark):
+    docs = [(i, f"common word{i % 4} word{i}") for i in range(20)]
+    asked = [(9, "word3 common"), (9, "word3 common"), (9, "word2")]
+    got = search.top_k(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked, "query_id long, text string"), 2).collect()
+    one, other = ([(9, r, d) for _, r, d in search.brute_force(docs, [(9, q)], 2)] for q in ("word3 common", "word2"))
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in got) == sorted(one + one + other)
+
+
+def clustered(n=2000):
+    """Documents of forty themes, each with words of its own beside common ones."""
+    rng = random.Random(4)
+    return [(i, " ".join([f"theme{i % 40}"] * 3 + rng.choices([f"x{i % 40}w{j}" for j in range(60)], k=20) + rng.choices([f"c{j}" for j in range(30)], k=10))) for i in range(n)]
+
+
+def test_blocks_before_the_pivot_are_passed_over(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "FREQUENT", 3)
+    docs = clustered()
+    rows = [r for b in search._index(iter([pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs])], names=["doc_id", "text"])])) for r in b.to_pylist()]
+    shard = search.Shard(rows[0], rows[0]["total_length"] / rows[0]["n_docs"])
+    hashes = decontaminate.WordHashes()
+    asked = [(i, *search._terms(hashes, decontaminate.tokens(docs[i][1]))) for i in range(0, 2000, 50)]
+    df = {int(t): int(n) for t, n in zip(shard.terms, np.bincount(shard.key >> 16), strict=True)}
+    queries = [(i, t, np.array([math.log(1 + (2000 - df[int(x)] + 0.5) / (df[int(x)] + 0.5)) for x in t]) * c) for i, t, c in asked]
+    best = [[] for _ in queries]
+    shard.search(queries, best, 10)
+    got = [(q[0], r + 1, -i) for q, heap in zip(queries, best, strict=True) for r, (_, i) in enumerate(sorted(heap, reverse=True))]
+    assert got == search.brute_force(docs, [docs[i] for i in range(0, 2000, 50)])
+    assert shard.passed > 0.5 * (shard.passed + shard.met) and shard.skipped > 0.1 * (shard.skipped + shard.touched), (shard.passed, shard.met, shard.skipped, shard.touched)
+    # Thresholds from elsewhere prune more and lose nothing that reaches them.
+    floors = np.array([h[0][0] for h in best])
+    again, met = [[] for _ in queries], shard.met
+    shard.search(queries, again, 10, floors)
+    assert [sorted(h) for h in again] == [sorted(h) for h in best] and shard.met - met < met
+
+
+def test_seeded_shards_return_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 50)
+    monkeypatch.setattr(search, "SEED_SHARE", 3)
+    docs = clustered()
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    asked = [docs[i] for i in range(0, 2000, 100)]
+    got = search.top_k(df, spark.createDataFrame(asked, "query_id long, text string"))
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in got.collect()) == sorted(search.brute_force(docs, asked))
+
+
 def test_search_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     asked = spark.createDataFrame([(1, "a")], "query_id long, text string")
