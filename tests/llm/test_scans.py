@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillmill.llm import html, quality, secrets, toxicity
 
@@ -131,6 +132,42 @@ def test_identity_terms_carry_no_weight(spark):
     assert free.sums["muslims"] > 10 * abs(m.sums["muslims"])
 
 
+def test_slopes_of_the_objective():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    columns = np.unique([x for s in toxicity.IDENTITY_SETS[:3] for t in s for x in toxicity.features(t)])
+    rows = [(int(rng.random() < 0.5), np.sort(rng.choice(columns, 5, replace=False)), rng.integers(1, 9, 5)) for _ in range(30)]
+    pairs = {("muslim", ""): 3, ("muslim", "jewish"): 2, ("black", "white"): 7, ("unknown", "christians"): 1}
+    problem = toxicity.Problem(columns, rows, pairs)
+    w, bias = rng.normal(size=len(columns)) / 10, 0.3
+    value, slope, by_bias = problem.objective(w, bias)
+    for i in range(0, len(w), 5):
+        step = np.zeros(len(w))
+        step[i] = 1e-6
+        assert abs((problem.objective(w + step, bias)[0] - problem.objective(w - step, bias)[0]) / 2e-6 - slope[i]) < 1e-5
+    assert abs((problem.objective(w, bias + 1e-6)[0] - problem.objective(w, bias - 1e-6)[0]) / 2e-6 - by_bias) < 1e-5
+    # The same by plain sums over texts and swaps.
+    own = dict(zip(columns.tolist(), w, strict=True))
+    total = toxicity.L2 / 2 * sum(x * x for x in w)
+    for (label, found, n), weight in zip(rows, problem.weight, strict=True):
+        z = sum(own[f] * k for f, k in zip(found.tolist(), n.tolist(), strict=True)) + bias
+        total += weight * (np.log1p(np.exp(z)) - label * z)
+    for (a, b), n in pairs.items():
+        change = sum(own.get(f, 0.0) for f in toxicity.features(a)) - sum(own.get(f, 0.0) for f in (toxicity.features(b) if b else []))
+        total += toxicity.COUNTERFACTUAL * n / 13 * change**2
+    assert abs(total - value) < 1e-9
+
+
+def test_neutral_mentions_are_left_alone(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.Model(*toxicity.train(docs, labels.where(~toxicity.held_out())))
+    neutral = [r.text for r in docs.join(labels.where(toxicity.held_out() & (F.col("toxic") == 0)), "doc_id").select("text").collect()]
+    mentions, wrong = toxicity.neutral_false_positives(neutral, model)
+    assert mentions > 2000 and wrong / mentions < 0.001
+
+
 def test_toxicity_edge_rows(spark):
     d = spark.createDataFrame([(1, None, "s"), (1, None, "s"), (None, "x", "s"), (2, "y " * 60000, "s")], "doc_id long, text string, score string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
