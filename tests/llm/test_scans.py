@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import html, quality, secrets, toxicity
+from quillmill.llm import quality, secrets, toxicity
 
 # --- secrets
 
@@ -58,44 +58,6 @@ def test_redaction_of_blobs_that_the_ledger_knows(spark):
     assert {r.doc_id: r.text for r in secrets.redact(more, ledger).collect()}[1] == "a [REDACTED] z"
 
 
-# --- pages
-
-PAGE = (
-    "<!doctype html><html><head><title>No</title><style>p{{}}</style><script>var a = '</p>';</script></head><body class=x>"
-    "<header><h1>Site</h1></header><nav><ul><li><a href='/'>Menu</a></ul></nav><div class='cookie-notice'>We use cookies</div>"
-    "<div id=sidebar><p>Side</p></div><article><h1>Title {0} &amp; more</h1><p>First  {0}\n para<b>gra</b>ph&nbsp;end<br>next<p>Second {0} &lt;x&gt; &#233;</p>"
-    "<div class=\"ad banner\">Buy</div><ul><li>one<li>two</ul><form><input><label>Mail</label><button>Send</button></form>"
-    "<section id='comments'><p>Reader {0}</p></section></article><aside>Also</aside><!-- <p>gone</p> --><footer>&copy; foot</footer></body></html>"
-)
-
-
-def test_article_only(spark):
-    rows = [(i, f"https://h.example.com/{i}", PAGE.format(i)) for i in range(300)]
-    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    for i, url, _ in rows:
-        assert got[i].text == f"Title {i} & more\nFirst {i} paragraph end\nnext\nSecond {i} <x> é\none\ntwo"
-        assert got[i].n_chars == len(got[i].text) and got[i].url == url
-
-
-def test_no_named_container():
-    page = "<body><div class=top><ul><li><a href=/>Home</a></ul></div><div class=wrap><div class=text><p>Long text number {0} that says something.</p><p>More words {0}.</p></div><div class=more><a href=/n>Next</a></div></div></body>"
-    assert html.extract_block([page.format(i) for i in range(5)])[2] == "Long text number 2 that says something.\nMore words 2."
-
-
-def test_odd_pages(spark):
-    rows = [(1, None, None, "h"), (1, None, None, "h"), (2, "nonsense", "", "h"), (3, "http://a/", "plain only", "h"), (4, "http://a/", "<p>open <b>tags <i>all", "h"), (5, "http://a/", "<" * 3000, "h"), (6, "http://a/", "<div>" * 30000 + "deep" + "</div><p>er" * 20000, "h")]
-    got = [(r.page_id, r.text) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()]
-    assert sorted(got)[:5] == [(1, ""), (1, ""), (2, ""), (3, "plain only"), (4, "open tags all")] and dict(got)[6] == "\n".join(["deep", *["er"] * 20000])
-    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
-def test_equivalence_classes_and_template():
-    pages = [["html", "html/nav", "html/article", "html/article/p", "html/article/p"], ["html", "html/nav", "html/article", "html/article/p"], ["html", "html/article", "html/nav"]]
-    classes = html.equivalence_classes(pages)
-    assert sorted(classes[1, 1, 1]) == ["html", "html/article", "html/nav"] and classes[2, 1, 0] == ["html/article/p"]
-    assert not html.valid(classes[1, 1, 1], pages, (1, 1, 1)) and html.valid(["html", "html/nav"], pages, (1, 1, 1))
-
-
 # --- classifiers
 
 
@@ -206,9 +168,3 @@ def test_quality_edge_rows(spark):
     assert not out[1].keep and not out[2].keep and not out[3].keep
     p, w, b, _ = quality.train(d.limit(0))
     assert quality.score_texts(d.limit(0), p, w, b).count() == 0
-
-
-def test_hosts(spark):
-    urls = ["https://A.example.com:80/x", "http://u:p@b.example/", "none", None]
-    df = spark.createDataFrame([(u,) for u in urls], "url string").select(html.host_of().alias("h"))
-    assert [r.h for r in df.collect()] == ["a.example.com", "b.example", "", ""]
