@@ -399,9 +399,16 @@ def deduce(tokens: dict[int, Token]) -> Template:
     constant = {t.parent for t in chosen.values() if t.is_text and not alone and t.parent in chosen and t.vector == chosen[t.parent].vector}
     headed = {t.parent for k, t in tokens.items() if t.tag in ("h1", "h2") and not t.is_text and k not in constant}
 
+    # What holds a named article is weighed as it is.
+    leads: set[int] = set()
+    for k, t in chosen.items():
+        while k in chosen and k not in leads and (t.main >= 2 and not t.is_text):
+            leads.add(k)
+            k = chosen[k].parent
+
     def weight(k: int) -> float:
         t = chosen[k]
-        return 0.02 if 2 * t.chrome > t.pages else 50.0 if t.main >= 2 else 5.0 if t.main else 1.0
+        return 50.0 if k in leads else 0.02 if 2 * t.chrome > t.pages else 5.0 if t.main else 1.0
 
     at, rest, share = ROOT, chosen[ROOT].chars, ALONE_SHARE if alone else MAIN_SHARE
     while chosen[at].tag != "article" and at not in headed and inner[at]:
