@@ -10,9 +10,10 @@ impacts in each block in which it occurs.  A block's sum of the query's terms' m
 scores in it.  Documents are taken in order, many queries at a time: a query's pivot is the next
 block whose bound reaches the k-th best score that it has found (a bound by the terms' maxima
 over the whole list is never less, so it needs no look of its own).  Blocks before the pivot are
-passed over without touching their postings.  In the pivot's block the documents that reach the
-k-th best, by a product in single precision rounded up, are scored term by term.  The merged
-lists are the exact top k; ties go to the lesser id.
+passed over without touching their postings.  In the pivot's block all documents get a score
+in single precision, whose error is bounded; the k-th best of these rounded down is the threshold,
+and in the end the documents that reach it rounded up are scored term by term.  The merged lists
+are the exact top k; ties go to the lesser id.
 
 One shard in SEED_SHARE is searched first; the k-th best score of each query in these is the
 threshold with which all other shards start, and below which they return nothing.  So the rows
@@ -41,7 +42,7 @@ TOP_K = 10
 SHARD_DOCS, SHARD_POSTINGS = 4096, 4_000_000
 BLOCK_DOCS = 32
 #: A term is frequent in a shard if one document of so many has it; queries in one product.
-FREQUENT, BATCH = 8, 512
+FREQUENT, BATCH = 24, 512
 #: More than the relative error of a sum of 10,000 terms in single precision.
 ROUND_UP = 1 + 1e-3
 #: One shard of so many is searched first, for thresholds.
@@ -116,11 +117,11 @@ def build_index(docs: DataFrame) -> DataFrame:
 class Shard:
     """A shard ready for scoring with the global average length.
 
-    ``passed`` and ``met`` count (query, block) pairs, ``skipped`` and ``touched`` the postings
-    of rarer terms in them.
+    ``passed`` and ``met`` count (query, block) pairs; with ``counting``, ``skipped`` and
+    ``touched`` count the postings of rarer terms in them.
     """
 
-    def __init__(self, row: dict, average: float):
+    def __init__(self, row: dict, average: float, counting: bool = False):
         self.ids = _unpack(row["ids"], "<i8")
         lengths = _unpack(row["lengths"], "<u4").astype("f8")
         self.terms, starts = _unpack(row["terms"], "<u8"), _unpack(row["starts"], "<u4").astype("i8")
@@ -130,6 +131,8 @@ class Shard:
         self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
         self.n_blocks = -(-len(self.ids) // BLOCK_DOCS)
         self.passed = self.met = self.skipped = self.touched = 0
+        self.counting = counting
+        self.local = self.docs % BLOCK_DOCS
         term = np.repeat(np.arange(len(self.terms)), np.diff(starts))
         self.key = term << 16 | self.docs
         # An entry is a term in a block: its postings and the maximum of their impacts.
@@ -177,11 +180,17 @@ class Shard:
         query, entry, pair_weight = np.concatenate(some), np.concatenate(entries), np.concatenate(pair_weight)
         bounds = (weights @ self.maxima) * ROUND_UP
         bounds = bounds + np.bincount(query * n_blocks + self.entry_block[entry], pair_weight * self.entry_max[entry] * (1 + 1e-9), len(batch) * n_blocks).reshape(len(batch), n_blocks)
-        order = np.argsort(self.entry_block[entry], kind="stable")
+        block = self.entry_block[entry].astype("u2")
+        order = np.argsort(block, kind="stable")
         query, entry, pair_weight = query[order], entry[order], pair_weight[order]
-        ends = np.searchsorted(self.entry_block[entry], np.arange(n_blocks + 1))
-        least = np.array([max(f, h[0][0] if len(h) == k else 0.0) for f, h in zip(floors, heaps, strict=True)])
+        ends = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=n_blocks))])
+        # The k best lower bounds of scores met so far, for each query; the least is its threshold.
+        lower = np.zeros((len(batch), k))
+        for i, heap in enumerate(heaps):
+            lower[i, : len(heap)] = [score for score, _ in heap]
+        least = np.maximum(floors, lower.min(axis=1))
         line = np.empty(len(batch), "i8")
+        candidates = []
         for block in range(n_blocks):
             # The queries whose pivot is this block.
             here = np.flatnonzero((bounds[:, block] >= least) & (bounds[:, block] > 0))
@@ -190,23 +199,37 @@ class Shard:
             self.met += len(here)
             line.fill(-1)
             line[here] = np.arange(len(here))
-            to = line[query[part]]
-            sizes = self.entry[entry[part] + 1] - self.entry[entry[part]]
-            self.touched += int(sizes[to >= 0].sum())
-            self.skipped += int(sizes[to < 0].sum())
+            to, of = line[query[part]], entry[part]
+            seen = np.flatnonzero(to >= 0)
+            if self.counting:
+                sizes = self.entry[of + 1] - self.entry[of]
+                self.touched += int(sizes[seen].sum())
+                self.skipped += int(sizes.sum() - sizes[seen].sum())
             if not len(here):
                 continue
-            scores = (weights[here] @ self.matrix[:, block * BLOCK_DOCS : (block + 1) * BLOCK_DOCS]) * ROUND_UP
-            of = entry[part][to >= 0]
+            scores = weights[here] @ self.matrix[:, block * BLOCK_DOCS : (block + 1) * BLOCK_DOCS]
+            of = of[seen]
             posts, which = _ranges(self.entry[of], self.entry[of + 1])
-            adds = self.impact[posts] * pair_weight[part][to >= 0][which] * (1 + 1e-9)
-            scores = scores + np.bincount(to[to >= 0][which] * BLOCK_DOCS + self.docs[posts] - block * BLOCK_DOCS, adds, len(here) * BLOCK_DOCS).reshape(len(here), BLOCK_DOCS)
-            good = (scores >= least[here][:, None]) & (scores > 0)
-            for i in np.flatnonzero(good.any(axis=1)).tolist():
-                q = int(here[i])
-                self._score(np.flatnonzero(good[i]) + block * BLOCK_DOCS, *known[q], heaps[q], k, floors[q])
-                if len(heaps[q]) == k:
-                    least[q] = max(floors[q], heaps[q][0][0])
+            adds = self.impact[posts] * pair_weight[part][seen][which]
+            scores = scores + np.bincount(to[seen][which] * BLOCK_DOCS + self.local[posts], adds, len(here) * BLOCK_DOCS).reshape(len(here), BLOCK_DOCS)
+            good = (scores * ROUND_UP >= least[here][:, None]) & (scores > 0)
+            some = np.flatnonzero(good.any(axis=1))
+            if not len(some):
+                continue
+            at, doc = np.nonzero(good)
+            candidates.append((here[at], doc + block * BLOCK_DOCS, scores[at, doc] * ROUND_UP))
+            rows = here[some]
+            lower[rows] = -np.partition(-np.concatenate([lower[rows], scores[some] / ROUND_UP], axis=1), k - 1, axis=1)[:, :k]
+            least[rows] = np.maximum(floors[rows], lower[rows].min(axis=1))
+        if candidates:
+            of, doc, upper = (np.concatenate(c) for c in zip(*candidates, strict=True))
+            kept = np.flatnonzero(upper >= least[of])
+            kept = kept[np.argsort(of[kept], kind="stable")]
+            of, doc = of[kept], doc[kept]
+            for part in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
+                if len(part):
+                    q = int(of[part[0]])
+                    self._score(doc[part], *known[q], heaps[q], k, floors[q])
 
     def _score(self, docs: np.ndarray, at: np.ndarray, weight: np.ndarray, best: list[tuple[float, int]], k: int, floor: float) -> None:
         """Full scores of ``docs``, summed in the order of the query's terms, so that equal texts

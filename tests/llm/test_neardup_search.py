@@ -137,7 +137,7 @@ def test_blocks_before_the_pivot_are_passed_over(monkeypatch):
     monkeypatch.setattr(search, "FREQUENT", 3)
     docs = clustered()
     rows = [r for b in search._index(iter([pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs])], names=["doc_id", "text"])])) for r in b.to_pylist()]
-    shard = search.Shard(rows[0], rows[0]["total_length"] / rows[0]["n_docs"])
+    shard = search.Shard(rows[0], rows[0]["total_length"] / rows[0]["n_docs"], counting=True)
     hashes = decontaminate.WordHashes()
     asked = [(i, *search._terms(hashes, decontaminate.tokens(docs[i][1]))) for i in range(0, 2000, 50)]
     df = {int(t): int(n) for t, n in zip(shard.terms, np.bincount(shard.key >> 16), strict=True)}
