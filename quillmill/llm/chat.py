@@ -41,6 +41,8 @@ class Listed:
     role: str
     text: str
     extra: tuple[str, ...] = ()
+    #: Whether its roles have names of their own (ROLE_NAMES); other layouts keep roles as they are.
+    own_roles: bool = False
 
     def paths(self) -> str:
         inner = ", ".join(sorted((self.role, self.text, *self.extra)))
@@ -54,7 +56,14 @@ class Listed:
         return self.canonical(F.from_json(json, schema, UNBOUNDED)[self.items])
 
     def canonical(self, raw: Column) -> Column:
-        return F.transform(raw, lambda x: F.struct(_role(x[self.role]).alias("role"), F.coalesce(x[self.text], F.lit("")).alias("text")))
+        role = _role if self.own_roles else lambda c: F.coalesce(c, F.lit(""))
+        return F.transform(raw, lambda x: F.struct(role(x[self.role]).alias("role"), F.coalesce(x[self.text], F.lit("")).alias("text")))
+
+    def columns(self) -> set[str]:
+        return {self.items}
+
+    def from_columns(self) -> Column:
+        return self.canonical(F.col(self.items))
 
 
 @dataclass(frozen=True)
@@ -74,6 +83,12 @@ class Fields:
         got = F.from_json(json, ", ".join(f"`{f}` string" for _, fields in self.parts for f in fields), UNBOUNDED)
         return self.canonical(lambda f: got[f])
 
+    def columns(self) -> set[str]:
+        return {f for _, fields in self.parts for f in fields}
+
+    def from_columns(self) -> Column:
+        return self.canonical(F.col)
+
     def canonical(self, field: Callable[[str], Column]) -> Column:
         def text(fields):
             got = [F.nullif(field(f), F.lit("")) for f in fields]
@@ -86,7 +101,7 @@ class Fields:
 #: Layouts known from the start; ``canonical_turns`` takes others too.
 MAPPINGS = (
     Listed("messages", "messages", "role", "content"),
-    Listed("conversations", "conversations", "from", "value"),
+    Listed("conversations", "conversations", "from", "value", own_roles=True),
     Listed("turns", "turns", "role", "text"),
     Listed("numbered_turns", "turns", "role", "text", ("turn",)),
     Fields("prompt_response", (("user", ("prompt",)), ("assistant", ("response",)))),
@@ -134,14 +149,20 @@ def canonical_turns(df: DataFrame, record: str, mappings=MAPPINGS, out: str = "t
     return _mapped(df, mappings, lambda m: F.when(F.col("__v").isNull(), m.large_turns(json)).otherwise(m.turns(F.col("__v"))), out).drop("__v", "__big", "__fp")
 
 
-def canonical_lists(df: DataFrame, items: str, mappings=MAPPINGS, out: str = "turns") -> DataFrame:
-    """``canonical_turns`` for records held as a column: an array of structs of strings, named as
-    the list's field.  Only one element without its texts is fingerprinted."""
-    fields = [f.name for f in df.schema[items].dataType.elementType.fields]
-    one = F.transform(F.slice(items, 1, 1), lambda x: F.struct(*(F.substring(F.coalesce(x[f], F.lit("")), 1, 0).alias(f) for f in fields)))
-    df = df.withColumn("__fp", fingerprint(F.try_parse_json(F.to_json(F.struct(one.alias(items))))))
-    listed = [m for m in mappings if isinstance(m, Listed) and m.items == items and {m.role, m.text} <= {*fields}]
-    return _mapped(df, listed, lambda m: m.canonical(F.col(items)), out).drop("__fp")
+def canonical_columns(df: DataFrame, columns: list[str], mappings=MAPPINGS, out: str = "turns") -> DataFrame:
+    """``canonical_turns`` for records whose top fields are columns of ``df``: strings and arrays
+    of structs of strings; a null column is a field that the record lacks.  Only the fields
+    without their texts are fingerprinted, so no text passes through JSON."""
+
+    def bare(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if kind.typeName() == "array":
+            fields = [f.name for f in kind.elementType.fields]
+            return F.transform(F.slice(name, 1, 1), lambda x: F.struct(*(F.lit("").alias(f) for f in fields)))
+        return F.when(F.col(name).isNotNull(), F.lit(""))
+
+    df = df.withColumn("__fp", fingerprint(F.try_parse_json(F.to_json(F.struct(*(bare(c).alias(c) for c in columns))))))
+    return _mapped(df, [m for m in mappings if m.columns() <= {*columns}], lambda m: m.from_columns(), out).drop("__fp")
 
 
 def _mapped(df: DataFrame, mappings, read: Callable[[Listed | Fields], Column], out: str) -> DataFrame:
@@ -226,12 +247,48 @@ def records(rows: DataFrame) -> DataFrame:
     return conversations(rows).select("conv_id", F.to_json(F.struct("turns")).alias("record"))
 
 
+#: Top fields of the layouts in which ``as_layouts`` writes conversations.
+LAYOUT_COLUMNS = ["messages", "conversations", "turns", "prompt", "response", "completion", "instruction", "input", "output", "system"]
+
+
+def as_layouts(talks: DataFrame) -> DataFrame:
+    """(conv_id, LAYOUT_COLUMNS): conversations (conv_id, turns) in the layouts that sources
+    write, dealt by id among those that can hold them: prompt and answer for a user's and an
+    assistant's turn, instruction for these after a system text, else a list of messages."""
+    t, deal = F.col("turns"), F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(3))
+    roles = F.transform(t, lambda x: x["role"])
+    text = [F.get(t, F.lit(i))["text"] for i in range(3)]
+    pair = F.coalesce(roles == F.array(F.lit("user"), F.lit("assistant")), F.lit(False))
+    told = F.coalesce((roles == F.array(*map(F.lit, ("system", "user", "assistant")))) & (text[0] != ""), F.lit(False))
+    listed = ~pair & ~told
+    # A layout with role names of its own cannot tell these from the canonical ones.
+    plain = ~F.exists(t, lambda x: x["role"].isin(*ROLE_NAMES))
+    foreign = {"user": "human", "assistant": "gpt"}
+    names = F.create_map(*(F.lit(x) for p in foreign.items() for x in p))
+    shaped = {
+        "messages": F.when(listed & (deal == 0), F.transform(t, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))),
+        "conversations": F.when(listed & (deal == 1) & plain, F.transform(t, lambda x: F.struct(F.coalesce(names[x["role"]], x["role"]).alias("from"), x["text"].alias("value")))),
+        "turns": F.when(listed & ((deal == 2) | ((deal == 1) & ~plain)), t),
+        "prompt": F.when(pair & (deal < 2), text[0]),
+        "response": F.when(pair & (deal == 0), text[1]),
+        "completion": F.when(pair & (deal == 1), text[1]),
+        "instruction": F.when(pair & (deal == 2), text[0]).when(told, text[1]),
+        "input": F.when(told, F.lit("")),
+        "output": F.when(pair & (deal == 2), text[1]).when(told, text[2]),
+        "system": F.when(told, text[0]),
+    }
+    return talks.select("conv_id", *(shaped[c].alias(c) for c in LAYOUT_COLUMNS))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -7, formatted and read back."""
+    """All conversations and conversation -7, in the layouts of several sources, brought to
+    canonical turns by fingerprint, formatted and read back.  A record of no known layout fails."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     hostile = spark.range(0, 2, 1, 1).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    out = render(canonical_lists(conversations(rows.unionByName(hostile)), "turns"))
+    told = as_layouts(conversations(rows.unionByName(hostile)))
+    known = canonical_columns(told, LAYOUT_COLUMNS, out="canonical")
+    out = render(known.withColumn("canonical", F.coalesce("canonical", F.raise_error(F.lit("a record of no known layout")).cast(TURNS))), "canonical")
     out = out.select("conv_id", "layout", "formatted", parse(F.col("formatted")).alias("back"), loss_text(F.col("segments")).alias("loss"))
     said = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return out.select(

@@ -148,6 +148,31 @@ def test_records_nulls_ties_and_empty(spark):
     assert chat.records(rows.limit(0)).count() == 0
 
 
+def test_layouts_of_sources_reach_their_mappings(spark, tmp_path):
+    """All layouts are met, roles and texts come back as in the rows, and the SQL agrees."""
+    import duckdb
+
+    rng = random.Random(6)
+    rows = []
+    for i in range(120):
+        kind = i % 5
+        roles = [["user", "assistant"], ["system", "user", "assistant"], ["user", "assistant", "user"], ["human", "gpt", "model", None], ["assistant"]][kind]
+        rows += [(i, n, r, rng.choice(["", None, "x", "<|im_end|>\n", HOSTILE, "a\nb"])) for n, r in enumerate(roles)]
+    rows += [(None, 0, "user", "n"), (3, 0, "human", "x"), (-5, 1, "user", "u")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    told = chat.as_layouts(chat.conversations(df))
+    got = chat.canonical_columns(told, chat.LAYOUT_COLUMNS, out="canonical").select("conv_id", "layout", "canonical").collect()
+    assert {r.layout for r in got} == {"messages", "conversations", "turns", "prompt_response", "prompt_completion", "instruction", "system_instruction"}
+    want = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.conversations(df).collect()}
+    assert {r.conv_id: [tuple(t) for t in r.canonical] for r in got} == want
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    theirs = con.sql(chat.OP5_SQL)
+    ours = sorted(map(str, (tuple(r) for r in chat.op5_chat(spark, str(tmp_path)).select(*theirs.columns).collect())))
+    assert ours == sorted(map(str, theirs.fetchall()))
+
+
 def test_large_text_keeps_its_turn(spark, tmp_path):
     spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), F.expr("repeat('xy', 10000100)").alias("text")).write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r.conv_id: r for r in chat.op5_chat(spark, str(tmp_path)).collect()}
