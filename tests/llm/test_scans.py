@@ -44,6 +44,21 @@ def test_ledger_scans_only_the_unseen(spark, monkeypatch):
     assert secrets.scan_versions(versions.limit(0)).count() == 0
 
 
+def test_ledger_in_a_folder(spark, tmp_path):
+    """The second run scans only what the first has not seen; a broken run is done again."""
+    folder = f"{tmp_path}/ledger"
+    old = spark.createDataFrame([("a", "token = abcdef123"), ("b", "token = abcdef123"), ("c", None), ("d", "clean")], "path string, text string")
+    assert secrets.read_ledger(spark, folder) is None
+    assert secrets.run_ledger(old, folder).count() == 3
+    (tmp_path / "ledger" / "run=000002").mkdir()
+    more = old.unionByName(spark.createDataFrame([("e", "passwd: 'zzzzzzz'"), ("f", "clean")], old.schema))
+    ledger = secrets.run_ledger(more, folder)
+    assert ledger.count() == 4 and spark.read.parquet(f"{folder}/run=000002").count() == 1
+    want = sorted((r.path, r.spans) for r in secrets.scan_versions(more).collect())
+    assert sorted((r.path, r.spans) for r in secrets.join_findings(more, secrets.known_findings(ledger)).collect()) == want
+    assert secrets.run_ledger(more, folder).count() == 4
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token = abcdef123 z", 5, "s"), (2, None, None, "t"), (3, "ok", 2, "u")], "doc_id long, text string, n_chars long, blob string")
     out = {r.doc_id: r for r in secrets.redact(df).collect()}
