@@ -278,7 +278,9 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = stars.join(sig_b, "b").join(sig_a, "a").select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a binary, b binary")
 
     fetch = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
-    texts = materialise(docs.select(_text_key().alias("text_key"), "text").join(fetch, "text_key").dropDuplicates(["text_key"]).select("node", "text", F.length("text").cast("long").alias("size")))
+    # Copies are merged before the shuffle, so that a hot text is one row per task.
+    texts = docs.select(_text_key().alias("text_key"), "text").dropDuplicates(["text_key"]).join(fetch, "text_key")
+    texts = materialise(texts.select("node", "text", F.length("text").cast("long").alias("size")))
     links = materialise(_linked(stars, texts))
     found = materialise(components(links))
 
@@ -304,8 +306,9 @@ def classes(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, class_size): class_id is the least doc_id of the class; texts without
     words are each their own class."""
-    rows = classes(docs)
-    sizes = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    rows = materialise(classes(docs).select("doc_id", "component"))
+    # Written first: the join can then split the rows of a large class over tasks.
+    sizes = materialise(rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     joined = rows.select("doc_id", "component").join(sizes, "component", "left")
     return joined.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
 
