@@ -15,6 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.functions.text import missing, strip_fence
 from quillmill.operators import dedup, export, qa, sample
 from quillmill.sources import files, model, reports
 from quillmill.streaming import incremental
@@ -38,9 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     verb("export", out={"default": "export/train.jsonl"}, skip_flagged=yes)
     verb("flags")
     verb("validate", use_ai=yes, llm_model={"default": "qwen2.5:3b"}, **url)
-    verb("recheck", report={})
-    verb("final", report={})
-    verb("score")
+    verb("recheck", report={}, newest=yes)
+    verb("final", report={}, newest=yes)
+    verb("score", reviews={})
     verb("sample", sample_size={"type": int, "default": 20}, seed={"type": int}, book={})
     verb("dups", threshold={"type": float, "default": 0.8}, delete=yes)
     verb("review", sample_size={"type": int, "default": 20}, seed={"type": int, "default": 42}, output={"default": "review.html"}, book={})
@@ -69,6 +70,7 @@ def _save(root: str, name: str, text: str | Iterable[str]) -> None:
 
 #: What the models are told; both are defaults.
 DRAFT_SYSTEM = "你为小说章节写标注。世界观：{world}。只用一个 JSON 对象回答，字段为 scene、emotion、plot、style、characters（name、role、state、speech、importance、function）、pov、word_count。"
+BOOK_SYSTEM = "你为一本小说写世界观。只用一个 JSON 对象回答，字段为 world、style_template（role、instruction 的列表）、banned_terms（词的列表）。"
 VERIFY_SYSTEM = "判断句子里是否有人物符合角色描述。只回答 YES 或 NO。"
 
 
@@ -85,6 +87,23 @@ def drafted(spark: SparkSession, root: str, client: model.Client, book: str | No
     return qa.fill_empty(todo.drop("book_world"), made)
 
 
+BOOK_FIELDS = "struct<world:string,style_template:array<struct<role:string,instruction:string>>,banned_terms:array<string>>"
+
+
+def drafted_books(spark: SparkSession, root: str, client: model.Client, book: str | None = None) -> DataFrame:
+    """(book, world, style_template, banned_terms) of books without a world, from the model's
+    replies to their title, tags and synopsis, or first chapter where there is none; books with
+    neither, and failed replies, are left out."""
+    b = _books(spark, root).where(missing(F.col("world")))
+    b = b.where(F.col("book") == book) if book else b
+    first = _chapters(spark, root).groupBy("book").agg(F.min_by("body", "file").alias("first"))
+    sample = F.coalesce(F.nullif("synopsis", F.lit("")), F.nullif("first", F.lit("")))
+    asked = b.join(first, "book", "left").withColumn("sample", sample).where("sample IS NOT NULL")
+    asked = asked.select("book", F.lit(BOOK_SYSTEM).alias("system"), export.book_prompt(F.col("book"), F.col("tags"), F.col("sample")).alias("user"))
+    made = model.replies(asked, client).where("error IS NULL")
+    return made.select("book", F.from_json(strip_fence("reply"), BOOK_FIELDS).alias("d")).where("d IS NOT NULL").select("book", "d.*")
+
+
 def verified(found: DataFrame, chapters: DataFrame, client: model.Client) -> DataFrame:
     """(file, name, present): a model's verdict on characters that the rules did not find, where
     the body has sentences with persons at all."""
@@ -101,7 +120,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
     spark = spark or SparkSession.builder.appName("quillmill").getOrCreate()
     root = str(pathlib.Path(a.root).resolve())
     if a.verb == "clean":
-        result = incremental.run_once(spark, f"{root}/raw", f"{root}/tables", a.force)
+        rules = {"ads": files.pattern_file(f"{root}/configs/ad_patterns.txt"), "tag_rules": files.pattern_file(f"{root}/configs/tag_line_patterns.txt")}
+        result = incremental.run_once(spark, f"{root}/raw", f"{root}/tables", a.force, detect=files.detector(), **rules)
+        files.append_dedup_log(result["dropped"], f"{root}/logs/dedup")
+        files.write_index(result["index"], f"{root}/tables/corpus_index")
         files.write_tree(result["books"], result["chapters"], f"{root}/cleaned")
         rows = result["books"].join(result["chapters"].groupBy("book").count(), "book", "left")
         print({"kept": rows.count(), "dropped": result["dropped"].count(), "chapters": result["chapters"].count()})
@@ -109,11 +131,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
     chapters = _chapters(spark, root)
     if a.verb == "draft":
         ask = client or model.http_client(a.llm_base_url, a.llm_model, a.api_key, **model.DRAFT)
+        if a.scope in ("book", "all"):
+            for row in drafted_books(spark, root, ask, a.book).toLocalIterator():
+                about = row.asDict(recursive=True)
+                files.write_description(files.confined(root, f"cleaned/{row.book}/_book_meta.yaml"), {"world": about["world"] or "", "style_template": about["style_template"] or [], "banned_terms": about["banned_terms"] or []})
+        if a.scope == "book":
+            return
         for row in drafted(spark, root, ask, a.book).toLocalIterator():
             pathlib.Path(row.file.removeprefix("file:")).write_text(files.render_chapter(row.asDict(recursive=True)), encoding="utf-8")
     elif a.verb == "export":
         records = export.record_json(export.training_records(_books(spark, root), chapters, a.skip_flagged, compat=True))
         files.write_records(records, files.confined(root, a.out))
+        out = pathlib.PurePosixPath(a.out)
+        _save(root, str(out.parent / "dataset_info.json"), reports.descriptor(files.dataset_descriptor(out.name), out.stem))
         print(export.export_stats(_books(spark, root), chapters, a.skip_flagged).first().asDict())
     elif a.verb == "flags":
         for r in export.flags(_books(spark, root), chapters).orderBy("level", "name").toLocalIterator():
@@ -128,6 +158,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
             _save(root, "reports/validation.txt", reports.validation_lines(qa.stats(chapters, found), qa.issue_counts(found), found))
             return
         absent = found.where(F.col("issue_type") == qa.NOT_IN_BODY).select("file", F.col("detail").alias("character"))
+        if a.newest:
+            kind = "recheck" if a.verb == "final" else "validation"
+            found_file = files.newest(spark.read.format("binaryFile").option("pathGlobFilter", f"{kind}*.txt").load(f"{root}/reports")).select("path").first()
+            a.report = found_file.path.removeprefix("file:") if found_file else None
         if a.report:
             absent = files.report_problems(spark.read.text(files.confined(root, a.report), wholetext=True), confirmed=a.verb == "final")
         checked = qa.recheck(absent, chapters) if a.verb == "recheck" or not a.report else absent.withColumn("confirmed", F.lit(True))
@@ -137,6 +171,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
         scored = qa.scores(chapters)
         print(scored.agg(F.avg("overall").alias("mean")).first().mean)
         qa.low_scores(scored).show(truncate=False)
+        if a.reviews:
+            print(sample.scored_count(files.review_scores(spark, files.confined(root, a.reviews))).first().asDict())
     elif a.verb in ("sample", "review"):
         chosen = chapters.where(F.col("book") == a.book) if a.book else chapters
         drawn = sample.sample(chosen, ["book", "file"], a.sample_size, a.seed)
@@ -145,6 +181,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, clien
     elif a.verb == "dups":
         rows = dedup.chapter_duplicates(chapters.select("book", "file", "body"), a.threshold)
         _save(root, "reports/duplicates.txt", reports.duplicates_lines(rows))
+        for r in rows.orderBy("book", "file").limit(10).collect():
+            print(f"{r.file} -> {r.duplicate_of} ({r.reason})")
         if a.delete:
             for r in rows.select("file").toLocalIterator():
                 pathlib.Path(files.confined(root, r.file.removeprefix("file:"))).unlink()

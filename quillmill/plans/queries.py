@@ -90,8 +90,8 @@ def dedup_form(spark, sf_dir):
 
 
 def without_dialogue(spark, sf_dir):
-    t = text.without_dialogue(F.concat(F.lit('a "'), F.substring("text", 1, 10), F.lit('" b「'), F.col("lang"), F.lit("」c『d』 "), F.col("source"), F.lit("　")))
-    return _docs(spark, sf_dir).select("doc_id", t.alias("t"))
+    t = text.without_dialogue(F.concat(F.lit('a "'), F.col("lang"), F.lit('" b「'), F.col("lang"), F.lit("」c『d』 "), F.col("text"), F.lit("　")))
+    return _docs(spark, sf_dir).select("doc_id", t.alias("t")).select("doc_id", md5("t").alias("text_md5"), F.length("t").cast("long").alias("n"))
 
 
 def split_each(spark, sf_dir):
@@ -158,9 +158,10 @@ def shingle_counts(spark, sf_dir):
 
 
 def exact_keep_first(spark, sf_dir):
-    docs = _docs(spark, sf_dir).withColumn("hash", md5("text"))
-    first = docs.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    return first.select("doc_id", "hash", "copies")
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("path"), F.col("doc_id").cast("string").alias("book"), md5("text").alias("hash"))
+    unique, dropped = dedup.exact_among(docs)
+    more = dropped.groupBy("hash").agg(F.count("*").alias("more"))
+    return unique.join(more, "hash", "left").select(F.col("path").alias("doc_id"), "hash", (1 + F.coalesce("more", F.lit(0))).alias("copies"))
 
 
 def minhash_md5(spark, sf_dir):
@@ -189,10 +190,13 @@ def new_vs_cached(spark, sf_dir):
 
 
 def new_vs_cached_exact(spark, sf_dir):
-    """The part of ``new_vs_cached`` that equals a cached book."""
-    b = _docs(spark, sf_dir).select("doc_id", md5("text").alias("hash"))
-    cached = b.where("doc_id % 2 = 0").groupBy("hash").agg(F.min("doc_id").alias("duplicate_of"))
-    return b.where("doc_id % 2 = 1").join(cached, "hash").select("doc_id", "duplicate_of")
+    """The part of ``new_vs_cached`` that equals a cached book: by signatures of the hash alone,
+    no other text is near."""
+    b = _docs(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("book"), md5("text").alias("hash"), F.length("text").alias("char_count"))
+    b = written(b.withColumn("fp", F.array_repeat("hash", similarity.SLOTS)))
+    cached = b.where("doc_id % 2 = 0").select("book", F.col("doc_id").alias("pos"), "hash", "fp", "char_count")
+    _, dropped = dedup.against_index(b.where("doc_id % 2 = 1"), cached)
+    return dropped.select("doc_id", F.col("duplicate_of").cast("long").alias("duplicate_of"))
 
 
 def greedy_dedup(spark, sf_dir):
@@ -467,7 +471,9 @@ ORACLE_SQL = {
     "paragraphs": f"WITH {D}, p AS (SELECT doc_id, text, {PARAS} AS p FROM d) SELECT doc_id, len(p)::BIGINT AS n, md5(coalesce(p[1], substring(replace(text, chr(10), chr(10) || chr(10)), 1, 100))) AS first_md5 FROM p",
     "dedup_form": rf"""WITH {D}, t AS (SELECT doc_id, regexp_replace(text, '[\s\x1c-\x1f\x{{3000}}\x{{A0}}\x85\x{{2028}}\x{{2029}}，。！？、；：（）《》【】.,!?;:''"()\[\]{{}}]', '', 'g') AS t FROM d)
         SELECT doc_id, md5(t) AS text_md5, length(t)::BIGINT AS n FROM t""",
-    "without_dialogue": f"""WITH {D} SELECT doc_id, 'a ' || CASE WHEN contains(substring(text, 1, 10), '"') THEN NULL ELSE '' END || ' bc ' || source AS t FROM d""",
+    "without_dialogue": rf"""WITH {D}, w AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace('a "' || lang || '" b「' || lang || '」c『d』 ' || text || '　', '"[^"]*"', '', 'g'), '「[^」]*」', '', 'g'), '『[^』]*』', '', 'g') AS w FROM d),
+        t AS (SELECT doc_id, regexp_replace(w, '^[\s\x1c-\x1f\x{{3000}}\x{{A0}}\x85]+|[\s\x1c-\x1f\x{{3000}}\x{{A0}}\x85]+\z', '', 'g') AS t FROM w)
+        SELECT doc_id, md5(t) AS text_md5, length(t) AS n FROM t""",
     "split_each": "SELECT doc_id, lang || '|' || source || '、c ;|' || lang || '/' || source || '|c ;|' || lang || '/' || source || '、c' AS parts FROM documents",
     "strip_fence": "SELECT doc_id, lang AS t FROM documents",
     "truncations": f"WITH {D} SELECT doc_id, replace(substring(text, 1, 80), chr(10), ' ') AS preview, md5(substring(text, 1, 300) || CASE WHEN length(text) > 300 THEN '...' ELSE '' END) AS cut_md5, md5(substring(text, 1, 3000)) AS head_md5 FROM d",
@@ -506,6 +512,12 @@ ORACLE_SQL = {
             || CASE WHEN n_people = 2 THEN chr(10) || '- ' || name2 || '（r）：x；说话风格：s' ELSE '' END END,
           CASE WHEN pov <> '' THEN '[视角] ' || pov END)) AS user_md5, md5(body) AS assistant_md5
         FROM ch JOIN bk ON ch.book = bk.book WHERE NOT flagged AND NOT bf""",
+    "export_json": f"""WITH {CH}, {BOOKS} SELECT to_json({{'messages': [{{'role': 'user', 'content': concat_ws(chr(10), '[世界观] ' || CASE WHEN world = '' THEN 'W' ELSE world END, CASE WHEN scene <> '' THEN '[当前场景] ' || scene END, '[情感基调] ' || emotion, CASE WHEN plot <> '' THEN '[剧情要点] ' || plot END,
+          CASE WHEN style <> '' THEN '[写作风格] ' || style END,
+          CASE WHEN n_people > 0 THEN '[人物状态]' || chr(10) || '- ' || name1 || CASE WHEN role1 = '' THEN '' ELSE '（r）' END || CASE WHEN state1 = '' THEN '' ELSE '：x' END || '；说话风格：s'
+            || CASE WHEN n_people = 2 THEN chr(10) || '- ' || name2 || '（r）：x；说话风格：s' ELSE '' END END,
+          CASE WHEN pov <> '' THEN '[视角] ' || pov END)}}, {{'role': 'assistant', 'content': body}}],
+        'book': ch.book, 'chapter_index': NULL, 'chapter_title': NULL}})::VARCHAR AS value FROM ch JOIN bk ON ch.book = bk.book""",
     "export_stats": f"""WITH {CH}, {BOOKS}, c AS (SELECT (scene = '' OR emotion IS NULL OR plot = '' OR n_people = 0) AS inc, (flagged OR bf) AS f FROM ch JOIN bk ON ch.book = bk.book)
         SELECT count(*) FILTER (WHERE NOT f) AS total, count(*) FILTER (WHERE NOT f AND inc) AS incomplete, 0::BIGINT AS flagged_included, count(*) FILTER (WHERE f) AS flagged_skipped FROM c""",
     "export_stats_all": f"""WITH {CH}, {BOOKS}, c AS (SELECT (scene = '' OR emotion IS NULL OR plot = '' OR n_people = 0) AS inc, (flagged OR bf) AS f FROM ch JOIN bk ON ch.book = bk.book)

@@ -53,6 +53,30 @@ def decode_column(content: Column, detect=None) -> Column:
     return other(content) if detect else F.coalesce(F.try_validate_utf8(F.decode(F.when(F.is_valid_utf8(content.cast("string")), content), "UTF-8")), other(content))
 
 
+def detector() -> Callable[[bytes], tuple[str | None, float]] | None:
+    """(encoding, confidence) by an installed detection library; None where there is none."""
+    import importlib.util
+
+    if not importlib.util.find_spec("chardet"):
+        return None
+
+    def detect(data: bytes) -> tuple[str | None, float]:
+        import chardet
+
+        found = chardet.detect(data)
+        return found["encoding"], found["confidence"] or 0.0
+
+    return detect
+
+
+def pattern_file(path: str) -> list[str] | None:
+    """The rules in a local file; None where there is no such file."""
+    if not os.path.exists(path):
+        return None
+    with open(path, encoding="utf-8") as f:
+        return patterns(f.read())
+
+
 def patterns(lines: str) -> list[str]:
     """Rules of a configuration text: one per line, without blank lines and comments."""
     return [s for s in map(str.strip, lines.splitlines()) if s and not s.startswith("#")]
@@ -122,8 +146,8 @@ def render_chapter(row: dict) -> str:
 
 def write_tree(books: DataFrame, chapters: DataFrame, folder: str) -> None:
     """``book/_book_meta.yaml`` and ``book/NNNN.md`` for people to annotate, on a local or
-    mounted folder.  Rows come one partition at a time.  A description that exists stays; flags
-    of a chapter are written into its front matter."""
+    mounted folder that the executors share.  Chapters are written by the tasks that hold them.  A
+    description that exists stays; flags of a chapter are written into its front matter."""
     import yaml
 
     for b in books.toLocalIterator():
@@ -133,9 +157,15 @@ def write_tree(books: DataFrame, chapters: DataFrame, folder: str) -> None:
             about = {"book": b.book, "source_file": b.source_file, "tags": list(b.tags or []), "synopsis": b.synopsis or "", "world": "", "style_template": [], "banned_terms": [], "flags": list(b.flags or [])}
             with open(path, "w", encoding="utf-8") as f:
                 f.write(yaml.safe_dump(about, allow_unicode=True, sort_keys=False))
-    for c in chapters.select("book", "chapter_no", "body", "flags").toLocalIterator():
-        with open(confined(folder, f"{c.book}/{c.chapter_no:04d}.md"), "w", encoding="utf-8") as f:
-            f.write(render_chapter({"body": c.body, "flags": c.flags}))
+
+    def write(rows) -> None:
+        for c in rows:
+            path = confined(folder, f"{c.book}/{c.chapter_no:04d}.md")
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(render_chapter({"body": c.body, "flags": c.flags}))
+
+    chapters.select("book", "chapter_no", "body", "flags").foreachPartition(write)
 
 
 def chapter_files(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
@@ -159,19 +189,26 @@ def chapter_files(spark: SparkSession, folder: str, strict: bool = False) -> Dat
 
 
 def book_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per ``book/_book_meta.yaml``; folders without one are absent."""
+    """One row per ``book/_book_meta.yaml``; folders without one are absent.
+
+    Spark's readers pass over names that begin with an underscore, so the driver lists the paths
+    and tasks read the files from the local or mounted folder.
+    """
 
     @F.pandas_udf(BOOK)
-    def parse(contents: pd.Series) -> pd.DataFrame:
+    def parse(paths: pd.Series) -> pd.DataFrame:
         rows = []
-        for b in contents:
-            m = _yaml(bytes(b).decode("utf-8")) or {}
+        for p in paths:
+            with open(p.removeprefix("file:"), encoding="utf-8") as f:
+                m = _yaml(f.read()) or {}
             styles = [{"role": _text(s.get("role")), "instruction": _text(s.get("instruction"))} if isinstance(s, dict) else {"role": None, "instruction": _text(s)} for s in m.get("style_template") or []]
             rows.append({**{k: _text(m.get(k)) for k in ("book", "source_file", "synopsis", "world")}, **{k: _texts(m.get(k)) for k in ("tags", "banned_terms", "flags")}, "style_template": styles})
         return pd.DataFrame(rows, columns=["book", "source_file", "tags", "synopsis", "world", "style_template", "banned_terms", "flags"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "_book_meta.yaml").option("recursiveFileLookup", "true").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/\\]+)[/\\][^/\\]+\z", 1).alias("folder"), parse("content").alias("b")).select("folder", "b.*")
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_book_meta.yaml")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    files = spark.createDataFrame([(s.getPath().toString(),) for s in found], "path string")
+    return files.select(F.regexp_extract("path", r"([^/\\]+)[/\\][^/\\]+\z", 1).alias("folder"), parse("path").alias("b")).select("folder", "b.*")
 
 
 def corpus_index(spark: SparkSession, path: str) -> DataFrame:
@@ -248,6 +285,16 @@ def report_problems(reports: DataFrame, confirmed: bool = False) -> DataFrame:
     return rows.where(F.trim("line").rlike(line)).select(F.regexp_extract(F.trim("line"), line, 1).alias("file"), F.trim(F.regexp_extract(F.trim("line"), line, 2)).alias("character"))
 
 
+def write_description(path: str, fields: dict) -> None:
+    """``fields`` put into the book description at ``path``; what else it holds stays."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        about = yaml.safe_load(f) or {}
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(yaml.safe_dump(about | fields, allow_unicode=True, sort_keys=False))
+
+
 def newest(files: DataFrame) -> DataFrame:
     """The file that was changed last, of a ``binaryFile`` listing."""
     return files.orderBy(F.desc("modificationTime"), "path").limit(1)

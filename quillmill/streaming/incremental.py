@@ -1,8 +1,9 @@
 """Adding books to a corpus: one batch function, by hand or for a stream of new files.
 
 The state is the index table.  A stream hands each micro-batch of files to the batch function,
-which reads the index, writes chapters and then the new index, so a repeated batch finds its
-books known and adds nothing.
+which reads the index, writes books and chapters of the next version and then its index.  A
+version counts once its index is whole: a run that breaks off before is done again in its place,
+and a repeated batch finds its books known and adds nothing.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import clean, file_title, garbled, strip_lf, tags
+from quillmill.functions.text import AD_PATTERNS, TAG_PATTERNS, clean, file_title, garbled, strip_lf, tags
 from quillmill.operators.dedup import dedup_books, fingerprint, unseen
 from quillmill.operators.segment import REPEATED_BLOCKS, remove_repeats, split_book, split_flags
 from quillmill.operators.tables import written
@@ -25,18 +26,20 @@ def empty_index(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], INDEX)
 
 
-def read_books(files: DataFrame) -> DataFrame:
-    """(book, author, path, text, tags, flags, hash, fp, char_count) of (path, stem, content)."""
-    rows = files.withColumn("raw", decode_column(F.col("content"))).withColumn("t", file_title("stem"))
+def read_books(files: DataFrame, ads=None, tag_rules=None, detect=None) -> DataFrame:
+    """(book, author, path, text, tags, flags, hash, fp, char_count) of (path, stem, content).
+    Rules that are None are the built-in ones."""
+    ads, tag_rules = AD_PATTERNS if ads is None else ads, TAG_PATTERNS if tag_rules is None else tag_rules
+    rows = files.withColumn("raw", decode_column(F.col("content"), detect)).withColumn("t", file_title("stem"))
     lf = F.regexp_replace("raw", r"\r\n?", "\n")
     rows = rows.select(
-        F.col("t.title").alias("book"), F.col("t.author").alias("author"), "path", clean("raw").alias("text"),
-        tags(lf).alias("tags"), F.when(garbled("raw"), F.array(F.lit(GARBLED))).otherwise(F.array().cast("array<string>")).alias("flags"),
+        F.col("t.title").alias("book"), F.col("t.author").alias("author"), "path", clean("raw", ads).alias("text"),
+        tags(lf, tag_rules).alias("tags"), F.when(garbled("raw"), F.array(F.lit(GARBLED))).otherwise(F.array().cast("array<string>")).alias("flags"),
     )
     return fingerprint(rows)
 
 
-def clean_batch(files: DataFrame, index: DataFrame, force: bool = False) -> dict[str, DataFrame]:
+def clean_batch(files: DataFrame, index: DataFrame, force: bool = False, **reading) -> dict[str, DataFrame]:
     """New books into descriptions, chapters, dropped books and the next index.
 
     Known files are left out before their content is read.  Under ``force`` they are cleaned
@@ -44,7 +47,7 @@ def clean_batch(files: DataFrame, index: DataFrame, force: bool = False) -> dict
     """
     named = files.withColumn("book", file_title("stem")["title"])
     todo = unseen(named, index, force).select("path", "stem", "content")
-    new = written(read_books(todo))
+    new = written(read_books(todo, **reading))
     cached = index.where("status = 'cleaned'").select("book", "pos", "hash", "fp", "char_count")
     kept, dropped = dedup_books(new, cached)
     kept, dropped = written(kept), written(dropped)
@@ -70,16 +73,15 @@ def counts(files: DataFrame, result: dict[str, DataFrame]) -> dict[str, int]:
     return {"seen": files.count(), "kept": kept, "dropped": dropped, "chapters": result["chapters"].count()}
 
 
-def run_once(spark: SparkSession, folder: str, out: str, force: bool = False, files: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Clean ``folder`` into tables below ``out``; the index is replaced last, so a run that
-    breaks off is done again."""
+def run_once(spark: SparkSession, folder: str, out: str, force: bool = False, files: DataFrame | None = None, **reading) -> dict[str, DataFrame]:
+    """Clean ``folder`` into tables below ``out``, a version a run (``v=N``); the index comes last,
+    so a run that breaks off is done again in the same place.  ``reading``: options of ``read_books``."""
     index = _latest(spark, out)
-    result = clean_batch(files if files is not None else raw_texts(spark, folder), index, force)
+    result = clean_batch(files if files is not None else raw_texts(spark, folder), index, force, **reading)
     result = {k: written(v) for k, v in result.items()}
-    for name in ("books", "chapters", "dropped"):
-        result[name].write.mode("append").parquet(f"{out}/{name}")
     version = 1 + max(_versions(spark, out), default=-1)
-    result["index"].write.parquet(f"{out}/index/v={version:06d}")
+    for name in ("books", "chapters", "dropped", "index"):
+        result[name].write.mode("overwrite").parquet(f"{out}/{name}/v={version:06d}")
     return result
 
 

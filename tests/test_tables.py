@@ -1,3 +1,4 @@
+import shutil
 import random
 
 import pytest
@@ -259,15 +260,30 @@ def test_incremental_and_cli(spark, tmp_path):
     root = ["--root", str(tmp_path)]
     fresh = tmp_path / "fresh"
     (fresh / "raw").mkdir(parents=True)
-    (fresh / "raw" / "丁.txt").write_text("简介\n第1章 起\n正文一\n第2章 承\n正文二", encoding="utf-8")
+    (fresh / "configs").mkdir()
+    (fresh / "configs" / "ad_patterns.txt").write_text("# rules\n\n.*来看看.*\n", encoding="utf-8")
+    (fresh / "raw" / "丁.txt").write_text("简介\n第1章 起\n正文一\n快来看看吧\n第2章 承\n正文二", encoding="utf-8")
     cli.main(["--root", str(fresh), "clean"], spark)
     assert (fresh / "cleaned/丁/0002.md").read_text(encoding="utf-8").endswith("---\n\n正文二\n")
     assert yaml.safe_load((fresh / "cleaned/丁/_book_meta.yaml").read_text(encoding="utf-8"))["synopsis"] == "简介"
+    assert "来看看" not in (fresh / "cleaned/丁/0001.md").read_text(encoding="utf-8")
+    assert spark.read.json(f"{fresh}/tables/corpus_index").select("book", "status").collect() == [("丁", "cleaned")] and (fresh / "logs/dedup").exists()
     cli.main(["--root", str(fresh), "export"], spark)
-    for verb in (["export"], ["flags"], ["validate"], ["recheck"], ["final"], ["score"], ["sample", "--seed", "3"], ["review"], ["dups"]):
+    assert '"file_name": "train.jsonl"' in (fresh / "export/dataset_info.json").read_text(encoding="utf-8")
+    told = []
+    cli.main(["--root", str(fresh), "draft", "--scope", "book"], spark, client=lambda s, u: '{"world": "江湖", "banned_terms": ["x"]}' if "书名：丁" in u and "简介" in u else told.append(u))
+    about = yaml.safe_load((fresh / "cleaned/丁/_book_meta.yaml").read_text(encoding="utf-8"))
+    assert about["world"] == "江湖" and about["banned_terms"] == ["x"] and about["synopsis"] == "简介" and "emotion: ''" in (fresh / "cleaned/丁/0001.md").read_text(encoding="utf-8")
+    # A run that broke off before its index was whole is done again in the same place.
+    shutil.rmtree(fresh / "tables" / "index")
+    cli.main(["--root", str(fresh), "clean"], spark)
+    assert spark.read.parquet(f"{fresh}/tables/chapters").count() == 2
+    for verb in (["export"], ["flags"], ["validate"], ["recheck"], ["recheck", "--newest"], ["final"], ["final", "--newest"], ["score"], ["sample", "--seed", "3"], ["review"], ["dups"]):
         cli.main([*root, *verb], spark)
     assert "角色不在正文" not in (tmp_path / "reports/validation.txt").read_text(encoding="utf-8")
     assert "顾言" in (tmp_path / "review.html").read_text(encoding="utf-8")
+    assert [(r.folder, r.world, r.flags) for r in files.book_files(spark, str(tmp_path / "cleaned")).collect()] == [("书", "W", ["查"])]
+    assert files.book_files(spark, str(tmp_path / "raw")).count() == 0
     cli.main([*root, "draft"], spark, client=lambda s, u: '```json\n{"emotion": "calm", "style": "plain"}\n```')
     assert "emotion: calm" in (folder / "0001.md").read_text(encoding="utf-8")
 
