@@ -122,6 +122,74 @@ def greedy(near, count) -> list[tuple[int, int]]:
     return out
 
 
+def greedy_by_length(count: np.ndarray, ratio: float) -> list[tuple[int, int]]:
+    """``greedy`` where positions are near by their lengths alone (the shorter is at least
+    ``ratio`` of the longer), in n log n steps.
+
+    What is left and near at a position's turn lies after it: an earlier one would have dropped
+    it or have gone.  So the lengths from ``ratio`` times its own up to its own are dropped in
+    one sweep, and the first position among those up to its own over ``ratio`` is the least of a
+    range in a tree of minima.
+    """
+    n = len(count)
+    by = np.lexsort((np.arange(n), count))
+    ordered = np.asarray(count)[by]
+    rank = np.empty(n, "i8")
+    rank[by] = np.arange(n)
+    low = np.searchsorted(ordered, ratio * np.asarray(count, "f8"), "left").tolist()
+    same = np.searchsorted(ordered, count, "left").tolist()
+    high = np.searchsorted(ratio * ordered.astype("f8"), count, "right").tolist()
+    rank, by = rank.tolist(), by.tolist()
+    size = 1 << max(n - 1, 1).bit_length()
+    least = [n] * (2 * size)
+    least[size : size + n] = by
+    for k in range(size - 1, 0, -1):
+        least[k] = min(least[2 * k], least[2 * k + 1])
+    after = list(range(n + 1))
+
+    def left(k):
+        """The first place from k on that is not dropped."""
+        while after[k] != k:
+            after[k] = after[after[k]]
+            k = after[k]
+        return k
+
+    def drop(k):
+        after[k] = k + 1
+        k += size
+        least[k] = n
+        while k > 1:
+            k //= 2
+            least[k] = min(least[2 * k], least[2 * k + 1])
+
+    def first(a, b):
+        found, a, b = n, a + size, b + size
+        while a < b:
+            if a & 1:
+                found, a = min(found, least[a]), a + 1
+            if b & 1:
+                b -= 1
+                found = min(found, least[b])
+            a, b = a // 2, b // 2
+        return found
+
+    out = []
+    for i in range(n):
+        at = rank[i]
+        if after[at] != at:
+            continue
+        k = left(low[i])
+        while k < same[i]:
+            out.append((by[k], i))
+            drop(k)
+            k = left(k)
+        other = min(first(same[i], at), first(at + 1, high[i]))
+        if other < n:
+            out.append((i, other))
+            drop(at)
+    return out
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(id, component) of the nodes in ``pairs`` (a, b): least ids spread until none changes."""
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -151,13 +219,7 @@ def greedy_among(unique: DataFrame, order: str = "path", same_salts: bool = True
 
     def passed(pdf):
         pdf = pdf.sort_values(["place", "id"]).reset_index(drop=True)
-        count = pdf.char_count.to_numpy()
-
-        def near(i):
-            later = count[i + 1 :]
-            return i + 1 + np.flatnonzero(np.minimum(later, count[i]) >= LEAST_RATIO * np.maximum(later, count[i]))
-
-        out = greedy(near, count)
+        out = greedy_by_length(pdf.char_count.to_numpy(), LEAST_RATIO)
         return pd.DataFrame([(pdf.id[a], pdf.id[b]) for a, b in out], columns=["id", "kept"])
 
     def paired(pdf):
@@ -193,6 +255,31 @@ def dedup_books(new: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFrame
     return kept, a.select(columns).unionByName(b.select(columns)).unionByName(c.select(columns))
 
 
+def _alike_in_group(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(book, file_a, file_b, n_a, n_b): pairs of ``members`` (book, norm, file, n) of equal book
+    and norm whose shingle ``sets`` (book, file, s) may be similar by ``threshold``, none lost.
+
+    Sets that are similar share one of their rarest elements in the group: ordered by frequency,
+    the first ``size - ceil(threshold * size) + 1`` of either.  What a whole group has in common,
+    such as the paragraph itself, comes last and makes no pairs.
+    """
+    several = members.groupBy("book", "norm").agg(F.count("*").alias("m")).where("m > 1")
+    # A group goes by its hash from here on; equal hashes of unequal groups only add candidates.
+    group = F.xxhash64("book", "norm")
+    grouped = members.join(several, ["book", "norm"], "left_semi").select("book", "file", "n", "norm", group.alias("g")).join(sets, ["book", "file"])
+    rows = written(grouped.select("book", "norm", "file", "n", "g", F.size("s").alias("size"), F.explode("s").alias("x")))
+    common = rows.groupBy("g", "x").agg(F.count("*").alias("df")).where("df > 1")
+    # Elements that one set alone has come first; only their number matters.
+    shared = rows.join(common, ["g", "x"]).groupBy("book", "norm", "file", "n", "g", "size").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("o"))
+    prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    own = F.col("size") - F.size("o")
+    few = shared.where(prefix > own).withColumn("x", F.explode(F.slice("o", F.lit(1), (prefix - own).cast("int")))).select("book", "norm", "file", "n", "g", "size", F.col("x.x").alias("x"))
+    few = written(few)
+    a, b = (few.select("g", "x", "book", "norm", *(F.col(k).alias(f"{k}_{y}") for k in ("file", "n", "size"))) for y in "ab")
+    near = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9
+    return a.join(b, ["g", "x", "book", "norm"]).where((F.col("file_a") < F.col("file_b")) & near).select("book", "file_a", "file_b", "n_a", "n_b").distinct()
+
+
 def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(book, file, duplicate_of, similarity, reason) among the chapters of each book.
 
@@ -216,22 +303,24 @@ def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame
     copies = facts.join(leads, ["book", "same"]).where("file != lead").select("book", "file", "lead")
     thin = facts.join(leads.select("book", F.col("lead").alias("file")), ["book", "file"], "left_semi").drop("same")
     c = chapters.join(thin.select("book", "file"), ["book", "file"], "left_semi")
-    a, b = (thin.select("book", "norm", F.col("file").alias(f"file_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    first = a.where(F.length("norm") >= 10).join(b, ["book", "norm"]).where("file_a < file_b")
+    sets = written(c.select("book", "file", F.when(dedup_form("body") == "", F.array().cast("array<long>")).otherwise(shingle_hashes(dedup_form("body"))).alias("s")))
+    first = _alike_in_group(thin.where(F.length("norm") >= 10), sets, threshold)
     first = first.select("book", "file_a", "file_b", (F.col("n_a") >= F.col("n_b")).alias("keep_a"), F.lit(1).alias("stage"))
 
     # A body that contains a key has the key's minimizer among its own: an equi-join finds all.
-    probe = thin.where(F.length("key") >= 30).select("book", F.col("file").alias("prober"), "key", F.col("n").alias("n_p"), F.get(minimizer_column(F.col("key")), F.lit(0)).alias("m"))
+    probe = thin.where(F.length("key") >= 30).select("book", F.col("file").alias("prober"), "key", "norm", F.col("n").alias("n_p"), F.get(minimizer_column(F.col("key")), F.lit(0)).alias("m"))
     body = c.select("book", F.col("file").alias("other"), F.length("body").alias("n_o"), F.explode(minimizer_column(F.col("body"))).alias("m"))
     near = probe.join(body, ["book", "m"]).where("prober != other")
-    hits = near.join(c.select("book", F.col("file").alias("other"), "body"), ["book", "other"]).where(F.contains(F.col("body"), F.col("key"))).drop("body", "key", "m")
+    inside = c.join(thin.select("book", "file", F.col("norm").alias("norm_o")), ["book", "file"]).withColumnRenamed("file", "other")
+    hits = near.join(inside, ["book", "other"]).where(F.contains(F.col("body"), F.col("key")))
+    # Stage 1 has compared the pairs of one first paragraph.
+    hits = hits.where((F.col("norm") != F.col("norm_o")) | (F.length("norm") < 10)).drop("body", "key", "m", "norm", "norm_o")
     hits = hits.withColumn("file_a", F.least("prober", "other")).withColumn("file_b", F.greatest("prober", "other"))
-    hits = keep_first(hits, ["book", "file_a", "file_b"], ["prober"]).join(first, ["book", "file_a", "file_b"], "left_anti")
+    hits = keep_first(hits, ["book", "file_a", "file_b"], ["prober"])
     keep_prober = F.col("n_p") >= F.col("n_o")
     second = hits.select("book", "file_a", "file_b", F.when(keep_prober, F.col("prober") == F.col("file_a")).otherwise(F.col("other") == F.col("file_a")).alias("keep_a"), F.lit(2).alias("stage"), "prober", "other")
 
     pairs = first.withColumn("prober", F.col("file_a")).withColumn("other", F.col("file_b")).unionByName(second)
-    sets = c.select("book", "file", F.when(dedup_form("body") == "", F.array().cast("array<long>")).otherwise(shingle_hashes(dedup_form("body"))).alias("s"))
     sa, sb = (sets.select("book", F.col("file").alias(f"file_{x}"), F.col("s").alias(f"s_{x}")) for x in "ab")
     scored = pairs.join(sa, ["book", "file_a"]).join(sb, ["book", "file_b"]).withColumn("similarity", jaccard(F.col("s_a"), F.col("s_b"))).where(F.col("similarity") >= threshold)
     deleted = scored.select(

@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read back; a local folder is used only
-    where that setting is absent, as in tests."""
+    """``df`` written below ``spark.checkpoint.dir`` and read back; without that setting a local
+    session, as in tests, gets a local folder, and a cluster an error.  The table goes when the
+    driver ends."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         base = tempfile.mkdtemp(prefix="quillmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 

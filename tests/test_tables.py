@@ -1,9 +1,11 @@
-import shutil
 import random
+import shutil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillmill.functions.similarity import shingle_hashes
 from quillmill.operators import dedup, export, qa, sample
 from quillmill.plans import cli
 from quillmill.sources import files, model, reports
@@ -141,6 +143,31 @@ def test_greedy_order():
         assert run(pairs, count) == brute_greedy(lambda i, j, p=pairs: (i, j) in p, count)
 
 
+def test_greedy_by_length():
+    for seed in range(300):
+        rng = random.Random(seed)
+        count = np.array([rng.randint(0, rng.choice([3, 30, 300])) for _ in range(rng.randint(0, 60))], "i8")
+
+        def near(i, count=count):
+            later = count[i + 1 :]
+            return i + 1 + np.flatnonzero(np.minimum(later, count[i]) >= dedup.LEAST_RATIO * np.maximum(later, count[i]))
+
+        assert sorted(dedup.greedy_by_length(count, dedup.LEAST_RATIO)) == sorted(dedup.greedy(near, count))
+
+
+def test_a_common_paragraph_makes_no_pairs(spark):
+    p = "".join(chr(0x5000 + i) for i in range(400))
+    bodies = [p + "\n\n" + "".join(chr(0x6000 + (i * 130 + k) % 9000) for k in range(130)) for i in range(60)]
+    c = spark.createDataFrame([("b", f"{i:03d}", t) for i, t in enumerate(bodies)], "book string, file string, body string")
+    members = c.select("book", "file", F.lit("n").alias("norm"), F.length("body").alias("n"))
+    sets = c.select("book", "file", shingle_hashes(F.col("body")).alias("s"))
+    # The paragraph is 0.75 of each chapter, similar pairs are none.
+    assert dedup._alike_in_group(members, sets, 0.8).count() == 0
+    twice = sets.unionByName(sets.withColumn("file", F.concat("file", F.lit("x"))))
+    both = members.unionByName(members.withColumn("file", F.concat("file", F.lit("x"))))
+    assert {(r.file_a, r.file_b) for r in dedup._alike_in_group(both, twice, 0.8).collect()} == {(f"{i:03d}", f"{i:03d}x") for i in range(60)}
+
+
 def test_chapter_duplicates(spark):
     p = "这一段的开头足够长，可以作为搜索的关键词使用，因为它超过了三十个字符。"
     long = "".join(chr(0x4E00 + i * 7 % 5000) for i in range(800))
