@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import random
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillmill.functions.text import IGNORED
+
 SHINGLE, STRIDE, SLOTS, SEED = 12, 3, 64, 42
 
 #: The salts of stored signatures: one value for all slots, so that signatures that were made
@@ -120,6 +124,55 @@ def _gram_hashes(text: str, gram: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def codes_of(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def form_codes(text: str) -> np.ndarray:
+    """The code points of ``dedup_form`` of a text."""
+    codes = codes_of(text)
+    return codes[~_ignored()[codes]]
+
+
+@functools.cache
+def _ignored() -> np.ndarray:
+    """Whether a code point does not count when chapters are compared."""
+    out = np.zeros(0x110000, bool)
+    out[[i for i in range(0x10000) if re.match(IGNORED.removeprefix("(?Ud)"), chr(i))]] = True
+    return out
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes with all bits spread over all others."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` code points, by doubling; those of different
+    widths differ too."""
+    base, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    if len(codes) < width or width < 1:
+        return np.zeros(0, "u8")
+    part, step, out, done = codes.astype("u8") + np.uint64(1), 1, None, 0
+    while True:
+        if width & step:
+            n = len(codes) - done - step + 1
+            out = part if out is None else out[:n] * np.uint64(pow(base, step, mask + 1)) + part[done : done + n]
+            done += step
+        if done == width:
+            return mixed(out[: len(codes) - width + 1])
+        part = part[:-step] * np.uint64(pow(base, step, mask + 1)) + part[step:]
+        step *= 2
+
+
+def shingle_array(codes: np.ndarray, size: int = SHINGLE, stride: int = STRIDE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text's code points; none of no text."""
+    return np.unique(window_hashes(codes, min(size, len(codes)))[::stride])
+
+
 def minimizers(text: str, length: int = 30, gram: int = 8) -> list[int]:
     """The least gram hash of every run of ``length`` characters, each value once: a text that
     contains another of that length has its one value among its own."""
@@ -134,11 +187,3 @@ def minimizers(text: str, length: int = 30, gram: int = 8) -> list[int]:
         least = np.minimum(least[: len(least) - step], least[step:])
         covered += step
     return np.unique(least).view("i8").tolist()
-
-
-def minimizer_column(c: Column, length: int = 30) -> Column:
-    @F.pandas_udf("array<long>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: minimizers(t or "", length))
-
-    return run(c)

@@ -141,11 +141,16 @@ def strip_fence(c: str | Column) -> Column:
 
 
 #: White space and marks that do not count when chapters are compared.
-_IGNORED = r"""(?Ud)[\s\x1c-\x1f，。！？、；：""''（）《》【】.,!?;:'"()\[\]{}]"""
+IGNORED = r"""(?Ud)[\s\x1c-\x1f，。！？、；：""''（）《》【】.,!?;:'"()\[\]{}]"""
 
 
 def dedup_form(c: str | Column) -> Column:
-    return F.regexp_replace(_c(c), _IGNORED, "")
+    return F.regexp_replace(_c(c), IGNORED, "")
+
+
+def is_blank(c: str | Column) -> Column:
+    """Whether ``dedup_form`` leaves nothing."""
+    return ~F.rlike(_c(c), F.lit(IGNORED.replace("[", "[^", 1)))
 
 
 def paragraphs(c: str | Column, least: int = 20) -> Column:

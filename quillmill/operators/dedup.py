@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.functions.similarity import bands, equal_share, jaccard, length_ratio, minhash, minimizer_column, shingle_hashes
-from quillmill.functions.text import dedup_form, first_paragraph
+from quillmill.functions.similarity import bands, codes_of, equal_share, form_codes, length_ratio, minhash, mixed, shingle_array, window_hashes
+from quillmill.functions.text import dedup_form, first_paragraph, is_blank
+from quillmill.operators.filters import bloom, held, held_column
+from quillmill.operators.prefix import alike
 from quillmill.operators.tables import written
 
 LEAST_RATIO, LEAST_SIMILARITY = 0.85, 0.8
+#: Characters of a first paragraph that are looked for in other chapters.
+KEY = 30
 
 
 def fingerprint(books: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -255,29 +262,144 @@ def dedup_books(new: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFrame
     return kept, a.select(columns).unionByName(b.select(columns)).unionByName(c.select(columns))
 
 
+def _in_group(members: DataFrame) -> DataFrame:
+    """The ``members`` (book, norm, ...) that are not alone with their book and norm."""
+    several = members.groupBy("book", "norm").agg(F.count("*").alias("m")).where("m > 1")
+    return members.join(several, ["book", "norm"], "left_semi")
+
+
+def _named_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """(book, file_a, file_b, n_a, n_b, id_a, id_b), file_a < file_b: ``pairs`` (a, b) of the ids
+    of ``members`` (id, book, norm, file, n) that are of one book and norm."""
+    x, y = (members.select(F.col("id").alias(k), F.col("book").alias(f"book_{k}"), F.col("norm").alias(f"norm_{k}"), F.struct("file", "n", "id").alias(f"m_{k}")) for k in "ab")
+    both = pairs.join(x, "a").join(y, "b").where("book_a = book_b AND norm_a = norm_b")
+    first, second = F.least("m_a", "m_b"), F.greatest("m_a", "m_b")
+    return both.select(
+        F.col("book_a").alias("book"), first.file.alias("file_a"), second.file.alias("file_b"), first.n.alias("n_a"), second.n.alias("n_b"),
+        first.id.alias("id_a"), second.id.alias("id_b"),
+    )
+
+
 def _alike_in_group(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(book, file_a, file_b, n_a, n_b): pairs of ``members`` (book, norm, file, n) of equal book
-    and norm whose shingle ``sets`` (book, file, s) may be similar by ``threshold``, none lost.
+    """(book, file_a, file_b, n_a, n_b, ...): pairs of ``members`` (book, norm, file, n) of equal
+    book and norm whose shingle ``sets`` (book, file, s) may be similar by ``threshold``, none
+    lost; see ``prefix``."""
+    grouped = _in_group(members.withColumn("id", F.xxhash64("book", "file")))
+    pairs = alike(grouped.join(sets, ["book", "file"]).select("id", F.xxhash64("book", "norm").alias("g"), "s"), threshold)
+    return _named_pairs(pairs, grouped)
+
+
+def _shingles_of(body: str) -> np.ndarray:
+    return shingle_array(form_codes(body))
+
+
+def _grouped_bodies(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    for i, g, body in zip(*(batch.column(k) for k in ("id", "g", "body")), strict=True):
+        yield i.as_py(), g.as_py(), _shingles_of(body.as_py())
+
+
+def _key_runs(body: str, book: int, keys) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes with the book's) of the runs of KEY characters that the filter may hold."""
+    h = mixed(window_hashes(codes_of(body), KEY) ^ np.int64(book).view("u8"))
+    at = held(keys.value, h)
+    return at, h[at]
+
+
+def _held_keys(bodies: DataFrame, keys) -> DataFrame:
+    """(id, keys): the runs of each of ``bodies`` (id, book_hash, body) that the filter ``keys``
+    may hold, each once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for i, book, body in zip(pdf.id, pdf.book_hash, pdf.body, strict=True):
+                at, _ = _key_runs(body, book, keys)
+                if len(at):
+                    out.append((i, sorted({body[k : k + KEY] for k in at.tolist()})))
+            yield pd.DataFrame(out, columns=["id", "keys"])
+
+    return bodies.select("id", "book_hash", "body").mapInPandas(run, "id long, keys array<string>")
+
+
+def _key_hash(key: Column, book: Column) -> Column:
+    @F.pandas_udf("long")
+    def run(keys: pd.Series, books: pd.Series) -> pd.Series:
+        h = np.array([window_hashes(codes_of(k), KEY)[0] for k in keys], "u8")
+        return pd.Series(mixed(h ^ books.to_numpy().view("u8")).view("i8"))
 
-    Sets that are similar share one of their rarest elements in the group: ordered by frequency,
-    the first ``size - ceil(threshold * size) + 1`` of either.  What a whole group has in common,
-    such as the paragraph itself, comes last and makes no pairs.
+    return run(key, book)
+
+
+def _probed(thin: DataFrame, chapters: DataFrame, threshold: float) -> DataFrame:
+    """(book, gone, kept, stage, prober, other): pairs of the second stage that may be similar.
+
+    A filter of all keys, with their books, picks the runs of a body that may be keys, and a join
+    by book and run tells.  The chapters that hold a key are a group if they do not all share
+    their first paragraph, which the first stage has compared; pairs come from the prefix filter.
     """
-    several = members.groupBy("book", "norm").agg(F.count("*").alias("m")).where("m > 1")
-    # A group goes by its hash from here on; equal hashes of unequal groups only add candidates.
-    group = F.xxhash64("book", "norm")
-    grouped = members.join(several, ["book", "norm"], "left_semi").select("book", "file", "n", "norm", group.alias("g")).join(sets, ["book", "file"])
-    rows = written(grouped.select("book", "norm", "file", "n", "g", F.size("s").alias("size"), F.explode("s").alias("x")))
-    common = rows.groupBy("g", "x").agg(F.count("*").alias("df")).where("df > 1")
-    # Elements that one set alone has come first; only their number matters.
-    shared = rows.join(common, ["g", "x"]).groupBy("book", "norm", "file", "n", "g", "size").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("o"))
-    prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
-    own = F.col("size") - F.size("o")
-    few = shared.where(prefix > own).withColumn("x", F.explode(F.slice("o", F.lit(1), (prefix - own).cast("int")))).select("book", "norm", "file", "n", "g", "size", F.col("x.x").alias("x"))
-    few = written(few)
-    a, b = (few.select("g", "x", "book", "norm", *(F.col(k).alias(f"{k}_{y}") for k in ("file", "n", "size"))) for y in "ab")
-    near = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9
-    return a.join(b, ["g", "x", "book", "norm"]).where((F.col("file_a") < F.col("file_b")) & near).select("book", "file_a", "file_b", "n_a", "n_b").distinct()
+    # Below 10 characters a first paragraph was not compared: each is another.
+    norm = F.coalesce("norm", F.concat(F.lit("#"), "file")).alias("norm")
+    chapters = chapters.withColumn("book_hash", F.xxhash64("book"))
+    probe = thin.where("key IS NOT NULL").select("book", "key", norm, F.struct("file", "n", "id").alias("p"), _key_hash(F.col("key"), F.xxhash64("book")).alias("h"))
+    found = written(_held_keys(chapters, bloom(probe, "h")))
+    inside = thin.select("id", "book", norm, F.struct("file", "n", "id").alias("o")).join(found, "id").select("book", F.explode("keys").alias("key"), "norm", "o")
+    inside = written(inside.join(probe.select("book", "key").distinct(), ["book", "key"], "left_semi"))
+    several = inside.groupBy("book", "key").agg(F.min("norm").alias("least"), F.max("norm").alias("most")).where("least != most").select("book", "key")
+    probe, inside = (written(x.join(several, ["book", "key"], "left_semi")) for x in (probe, inside))
+    keys = bloom(probe, "h")
+
+    def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+        for i, book, body in zip(*(batch.column(k).to_pylist() for k in ("id", "book_hash", "body")), strict=True):
+            groups = np.unique(_key_runs(body, book, keys)[1]).view("i8").tolist()
+            s = _shingles_of(body) if groups else None
+            for g in groups:
+                yield i, g, s
+
+    members = chapters.where(held_column(F.col("id"), bloom(inside.select("o.id").distinct(), "id")))
+    pairs = alike(members.select("id", "book_hash", "body"), threshold, sets_of)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    p = probe.select("book", "key", F.col("norm").alias("norm_p"), "p", F.col("p.id").alias("a"))
+    o = inside.select("book", "key", F.col("norm").alias("norm_o"), "o", F.col("o.id").alias("b"))
+    hits = both.join(p, "a").join(o, ["book", "key", "b"]).where("norm_p != norm_o")
+    # Where each holds the other's key, the first file probes.
+    hits = hits.groupBy("book", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min(F.struct("p", "o")).alias("h")).select("book", "h.p", "h.o")
+    keep = F.col("p.n") >= F.col("o.n")
+    return hits.select(
+        "book", F.when(keep, F.col("o.id")).otherwise(F.col("p.id")).alias("gone"), F.when(keep, F.col("p.id")).otherwise(F.col("o.id")).alias("kept"),
+        F.lit(2).alias("stage"), F.col("p.file").alias("prober"), F.col("o.file").alias("other"),
+    )
+
+
+def _text_similarity(a: Column, b: Column) -> Column:
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        def of(s: str, t: str) -> float:
+            p, q = _shingles_of(s), _shingles_of(t)
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            return both / (len(p) + len(q) - both) if len(p) and len(q) else 0.0
+
+        return pd.Series([of(s, t) for s, t in zip(x, y, strict=True)], dtype="float64")
+
+    return run(a, b)
+
+
+def _first_similar(pairs: DataFrame, chapters: DataFrame, threshold: float) -> DataFrame:
+    """Of ``pairs`` (book, gone, kept, stage, prober, other) the first that is similar for each
+    ``gone``, with its similarity.  Most are decided by their first pair; only the others meet
+    the rest of theirs.  Pairs bring texts, which are smaller than sets of hashes."""
+    order = Window.partitionBy("gone").orderBy("stage", "prober", "other")
+    pairs = written(pairs.withColumn("place", F.row_number().over(order)))
+    ids = pairs.select("gone").unionByName(pairs.select(F.col("kept").alias("gone"))).distinct()
+    texts = written(chapters.where(held_column(F.col("id"), bloom(ids, "gone"))).select("id", "body"))
+
+    def similar(some: DataFrame) -> DataFrame:
+        x, y = (texts.select(F.col("id").alias(k), F.col("body").alias(f"body_{k}")) for k in ("gone", "kept"))
+        s = some.select("gone", "kept", "place").join(y, "kept").join(x, "gone").select("gone", "place", _text_similarity(F.col("body_gone"), F.col("body_kept")).alias("similarity"))
+        return s.where(F.col("similarity") >= threshold)
+
+    first = written(similar(pairs.where("place = 1")))
+    later = similar(pairs.where("place > 1").join(first, "gone", "left_anti")).groupBy("gone").agg(F.min("place").alias("place"), F.min_by("similarity", "place").alias("similarity"))
+    return written(pairs.join(first.unionByName(later), ["gone", "place"]))
 
 
 def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -292,52 +414,47 @@ def chapter_duplicates(chapters: DataFrame, threshold: float = 0.8) -> DataFrame
     Files with the same body are compared as one, the first of them: each later one is a
     duplicate of the first file that deletes it in stage 1, which is the first of the same body
     or the first of a body that is similar and not shorter.  So copies make no pairs.
+
+    Bodies are read anew for each step and, but for those of candidates, never shuffled or
+    written; a chapter is a hash of its book and name on the way.
     """
-    chapters = chapters.where(F.coalesce(F.length("body"), F.lit(0)) > 0).select("book", "file", "body")
-    formed = chapters.withColumn("para", first_paragraph("body")).withColumn("norm", dedup_form(F.col("para")))
-    alone = (F.length("norm") < 10) | (dedup_form("body") == "")
-    same = F.when(alone, F.col("file")).otherwise(F.md5(F.col("body").cast("binary")))
+    chapters = chapters.where(F.coalesce(F.length("body"), F.lit(0)) > 0).select(F.xxhash64("book", "file").alias("id"), "book", "file", "body")
+    para = first_paragraph("body")
+    norm = dedup_form(para)
+    facts = chapters.select("id", "book", "file", F.length("body").alias("n"), F.md5(F.col("body").cast("binary")).alias("md5"), is_blank("body").alias("blank"), para.alias("para"), norm.alias("norm"))
+    facts = facts.select(
+        "id", "book", "file", "n", "blank", F.when(F.length("para") >= KEY, F.substring("para", 1, KEY)).alias("key"),
+        F.when(F.length("norm") >= 10, F.md5(F.col("norm").cast("binary"))).alias("norm"),
+        F.when((F.length("norm") < 10) | F.col("blank"), F.col("file")).otherwise(F.col("md5")).alias("same"),
+    )
     # Everything but the bodies, made once.
-    facts = written(formed.select("book", "file", "norm", F.length("body").alias("n"), F.substring("para", 1, 30).alias("key"), same.alias("same")))
-    leads = facts.groupBy("book", "same").agg(F.min("file").alias("lead"))
-    copies = facts.join(leads, ["book", "same"]).where("file != lead").select("book", "file", "lead")
-    thin = facts.join(leads.select("book", F.col("lead").alias("file")), ["book", "file"], "left_semi").drop("same")
-    c = chapters.join(thin.select("book", "file"), ["book", "file"], "left_semi")
-    sets = written(c.select("book", "file", F.when(dedup_form("body") == "", F.array().cast("array<long>")).otherwise(shingle_hashes(dedup_form("body"))).alias("s")))
-    first = _alike_in_group(thin.where(F.length("norm") >= 10), sets, threshold)
-    first = first.select("book", "file_a", "file_b", (F.col("n_a") >= F.col("n_b")).alias("keep_a"), F.lit(1).alias("stage"))
-
-    # A body that contains a key has the key's minimizer among its own: an equi-join finds all.
-    probe = thin.where(F.length("key") >= 30).select("book", F.col("file").alias("prober"), "key", "norm", F.col("n").alias("n_p"), F.get(minimizer_column(F.col("key")), F.lit(0)).alias("m"))
-    body = c.select("book", F.col("file").alias("other"), F.length("body").alias("n_o"), F.explode(minimizer_column(F.col("body"))).alias("m"))
-    near = probe.join(body, ["book", "m"]).where("prober != other")
-    inside = c.join(thin.select("book", "file", F.col("norm").alias("norm_o")), ["book", "file"]).withColumnRenamed("file", "other")
-    hits = near.join(inside, ["book", "other"]).where(F.contains(F.col("body"), F.col("key")))
-    # Stage 1 has compared the pairs of one first paragraph.
-    hits = hits.where((F.col("norm") != F.col("norm_o")) | (F.length("norm") < 10)).drop("body", "key", "m", "norm", "norm_o")
-    hits = hits.withColumn("file_a", F.least("prober", "other")).withColumn("file_b", F.greatest("prober", "other"))
-    hits = keep_first(hits, ["book", "file_a", "file_b"], ["prober"])
-    keep_prober = F.col("n_p") >= F.col("n_o")
-    second = hits.select("book", "file_a", "file_b", F.when(keep_prober, F.col("prober") == F.col("file_a")).otherwise(F.col("other") == F.col("file_a")).alias("keep_a"), F.lit(2).alias("stage"), "prober", "other")
-
-    pairs = first.withColumn("prober", F.col("file_a")).withColumn("other", F.col("file_b")).unionByName(second)
-    sa, sb = (sets.select("book", F.col("file").alias(f"file_{x}"), F.col("s").alias(f"s_{x}")) for x in "ab")
-    scored = pairs.join(sa, ["book", "file_a"]).join(sb, ["book", "file_b"]).withColumn("similarity", jaccard(F.col("s_a"), F.col("s_b"))).where(F.col("similarity") >= threshold)
-    deleted = scored.select(
-        "book",
-        F.when(F.col("keep_a"), F.col("file_b")).otherwise(F.col("file_a")).alias("file"),
-        F.when(F.col("keep_a"), F.col("file_a")).otherwise(F.col("file_b")).alias("duplicate_of"),
-        "similarity", "stage", "prober", "other",
+    facts = written(facts)
+    leads = written(facts.groupBy("book", "same").agg(F.min(F.struct("file", "id", "n", "blank", "key", "norm")).alias("f")).select("book", "same", "f.*"))
+    copies = facts.join(leads.select("book", "same", F.col("file").alias("lead"), F.col("id").alias("gone")), ["book", "same"]).where("file != lead").select("book", "file", "lead", "gone")
+    # Nothing is similar to a chapter of marks alone.
+    thin = leads.where("NOT blank").drop("same", "blank")
+
+    members = written(_in_group(thin.where("norm IS NOT NULL")).select("id", "book", "norm", "file", "n"))
+    grouped = chapters.where(held_column(F.col("id"), bloom(members, "id")))
+    first = alike(grouped.select("id", F.xxhash64("book", F.md5(norm.cast("binary"))).alias("g"), "body"), threshold, _grouped_bodies)
+    first = _named_pairs(first, members)
+    keep_a = F.col("n_a") >= F.col("n_b")
+    first = first.select(
+        "book", F.when(keep_a, F.col("id_b")).otherwise(F.col("id_a")).alias("gone"), F.when(keep_a, F.col("id_a")).otherwise(F.col("id_b")).alias("kept"),
+        F.lit(1).alias("stage"), F.col("file_a").alias("prober"), F.col("file_b").alias("other"),
     )
-    earlier = deleted.where("stage = 1 AND duplicate_of < file").groupBy("book", F.col("file").alias("lead")).agg(F.min(F.struct("duplicate_of", "similarity")).alias("e"))
-    copied = copies.join(earlier, ["book", "lead"], "left").select(
+
+    found = _first_similar(first.unionByName(_probed(thin, chapters, threshold)), chapters, threshold)
+    names = thin.select("id", "file")
+    found = found.join(names.withColumnRenamed("id", "gone"), "gone").withColumn("duplicate_of", F.when(F.col("prober") == F.col("file"), F.col("other")).otherwise(F.col("prober")))
+    earlier = found.where("stage = 1 AND duplicate_of < file").select("gone", F.struct("duplicate_of", "similarity").alias("e"))
+    copied = copies.join(earlier, "gone", "left").select(
         "book", "file", F.coalesce("e.duplicate_of", "lead").alias("duplicate_of"), F.coalesce("e.similarity", F.lit(1.0)).alias("similarity"),
         F.lit(1).alias("stage"),
     )
-    first_records = keep_first(deleted, ["book", "file"], ["stage", "prober", "other"]).select(copied.columns)
     share = F.format_string("%.1f%%", F.col("similarity") * 100)
     reason = F.concat(F.when(F.col("stage") == 1, "首段相同，全文相似").otherwise("首段命中，全文相似"), share)
-    return first_records.unionByName(copied).select("book", "file", "duplicate_of", "similarity", reason.alias("reason"))
+    return found.select(copied.columns).unionByName(copied).select("book", "file", "duplicate_of", "similarity", reason.alias("reason"))
 
 
 def without(chapters: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import shutil
 
@@ -377,3 +378,54 @@ def test_reports_list_every_row(spark):
     assert text.partition("【可忽略的描述性角色】")[0].count("cleaned") == n == text.partition("【可忽略的描述性角色】")[2].count("cleaned")
     dups = spark.range(n).select(F.concat(F.lit("b"), "id").alias("book"), file.alias("file"), file.alias("duplicate_of"), F.lit("exact").alias("reason"))
     assert reports.duplicates(dups).count(": 1") == n == reports.duplicates(dups).count(" -> ")
+
+
+def test_chapter_duplicates_write_little(spark):
+    """The work tables are smaller than the chapters; a line that many chapters
+    begin with and many others hold makes no pairs of texts."""
+    rng = random.Random(0)
+    line = "".join(chr(0x5000 + i) for i in range(40))
+
+    def fresh(n):
+        return "".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(n))
+
+    rows = [("b", f"{i:03d}", line + "\n\n" + fresh(900)) for i in range(120)]
+    rows += [("b", f"{i:03d}", fresh(500) + "\n\n" + line + fresh(400)) for i in range(120, 240)]
+    rows += [("b", "240", rows[7][2] + "尾"), ("b", "241", rows[150][2][:-1]), ("b", "242", rows[7][2])]
+    c = spark.createDataFrame(rows, "book string, file string, body string")
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {*shared.rglob("*.parquet")}
+    got = {(r.file, r.duplicate_of) for r in dedup.chapter_duplicates(c).collect()}
+    assert got == {(f, k) for _, f, k in brute_chapter_duplicates(rows)}
+    size = sum(p.stat().st_size for p in {*shared.rglob("*.parquet")} - before if p.is_file())
+    assert size < sum(len(b.encode()) for _, _, b in rows) / 2
+
+
+def test_bloom_loses_nothing(spark):
+    from quillmill.operators.filters import bloom, held
+
+    keys = bloom(spark.range(9000).select(F.xxhash64("id").alias("h")), "h")
+    h = np.array([r.h for r in spark.range(20000).select(F.xxhash64("id").alias("h")).collect()]).view("u8")
+    at = held(keys.value, h)
+    assert len(keys.value) > 1 << 13 and set(range(9000)) <= set(at.tolist()) and len(at) < 9050
+
+
+def test_window_hashes():
+    from quillmill.functions.similarity import codes_of, shingle_array, shingle_set, window_hashes
+
+    for width in (1, 2, 7, 12, 30, 31):
+        t = "abcab" * 9 + "\0甲𠀀"
+        h = window_hashes(codes_of(t), width)
+        runs = [t[i : i + width] for i in range(len(t) - width + 1)]
+        assert len(h) == len(runs) and len(set(h.tolist())) == len(set(runs)) == len(set(zip(h.tolist(), runs, strict=True)))
+    for t in ("", "ab", "abc" * 30, "甲乙丙" * 5 + "x"):
+        assert len(shingle_array(codes_of(t))) == (len(shingle_set(t)) if t else 0)
+
+
+def test_form_codes_equal_dedup_form(spark):
+    from quillmill.functions.similarity import form_codes
+    from quillmill.functions.text import dedup_form, is_blank
+
+    t = "".join(chr(i) for i in range(1, 0x11000) if not 0xD800 <= i < 0xE000)
+    r = spark.createDataFrame([(t,)], "t string").select(dedup_form("t").alias("f"), is_blank("t").alias("b"), is_blank(F.lit(" 。　\x1c")).alias("c"), is_blank(F.lit("。a")).alias("d")).first()
+    assert [ord(x) for x in r.f] == form_codes(t).tolist() and (r.b, r.c, r.d) == (False, True, False)
