@@ -429,3 +429,19 @@ def test_form_codes_equal_dedup_form(spark):
     t = "".join(chr(i) for i in range(1, 0x11000) if not 0xD800 <= i < 0xE000)
     r = spark.createDataFrame([(t,)], "t string").select(dedup_form("t").alias("f"), is_blank("t").alias("b"), is_blank(F.lit(" 。　\x1c")).alias("c"), is_blank(F.lit("。a")).alias("d")).first()
     assert [ord(x) for x in r.f] == form_codes(t).tolist() and (r.b, r.c, r.d) == (False, True, False)
+
+
+def test_dup_per_book_writes_little(spark, tmp_path):
+    from quillmill.plans import queries
+
+    rng = random.Random(1)
+    line = "".join(chr(0x5000 + i) for i in range(40))
+    texts = [line + "\n" + "".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(900)) for _ in range(150)]
+    texts += [t + "尾" for t in texts[:3]]
+    rows = [(i, t, "zh", "b") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {*shared.rglob("*.parquet")}
+    assert [tuple(r) for r in queries.dup_per_book(spark, str(tmp_path)).collect()] == [("b", 3)]
+    size = sum(p.stat().st_size for p in {*shared.rglob("*.parquet")} - before if p.is_file())
+    assert size < sum(len(t.encode()) for t in texts) / 2
